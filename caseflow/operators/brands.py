@@ -44,11 +44,11 @@ def brand_metrics(messages: DataFrame) -> DataFrame:
         F.count("*").alias("n_conversation_components"),
         F.sum("customers").alias("n_customer_messages"),
         F.sum("replies").alias("n_brand_replies"),
-        percent(F.count_if("customers > 0"), F.count("*")).alias("pct_with_brand_response"),
+        percent(F.count_if(F.expr("customers > 0")), F.count("*")).alias("pct_with_brand_response"),
         F.percentile("size", 0.5).alias("median_length"),
         F.round(F.avg("size"), 3).alias("mean_length"),
-        percent(F.count_if("size > 2"), F.count("*")).alias("pct_multi_turn"),
-        F.count_if("customers > 0").alias("n_usable_cases"),
+        percent(F.count_if(F.expr("size > 2")), F.count("*")).alias("pct_multi_turn"),
+        F.count_if(F.expr("customers > 0")).alias("n_usable_cases"),
     )
 
 

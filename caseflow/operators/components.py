@@ -31,7 +31,7 @@ def parent_links(messages: DataFrame, use_responses: bool = True) -> DataFrame:
         )
     known = messages.select(F.col("tweet_id").alias("parent"), F.lit(True).alias("known"))
     return links.join(known.distinct(), "parent", "left").select(
-        "tweet_id", F.when("known", F.col("parent")).alias("parent")
+        "tweet_id", F.when(F.col("known"), F.col("parent")).alias("parent")
     )
 
 

@@ -90,11 +90,11 @@ def drop_accounting(messages: DataFrame, brand: Column) -> DataFrame:
     )
     sums = {s: F.sum(f"n{s}") for s in (1, 2, 3, 4, 5, 9)}
     alive = {
-        "r1": F.count_if("n1 = 0"),
-        "r2": F.count_if("n1 = 0 AND n2 = 0"),
-        "r3": F.count_if("n1 = 0 AND n2 = 0 AND n3 = 0"),
-        "r4": F.count_if("n5 + n9 > 0"),
-        "r5": F.count_if("n9 > 0"),
+        "r1": F.count_if(F.expr("n1 = 0")),
+        "r2": F.count_if(F.expr("n1 = 0 AND n2 = 0")),
+        "r3": F.count_if(F.expr("n1 = 0 AND n2 = 0 AND n3 = 0")),
+        "r4": F.count_if(F.expr("n5 + n9 > 0")),
+        "r5": F.count_if(F.expr("n9 > 0")),
     }
     totals = per_component.agg(
         F.count("*").alias("c0"), *[c.alias(k) for k, c in alive.items()],

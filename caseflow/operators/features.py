@@ -66,14 +66,18 @@ def tokens(text: Column, spec: TermSpec) -> Column:
 
 
 def word_ngrams(toks: Column, low: int, high: int) -> Column:
-    """All runs of ``low`` to ``high`` tokens, joined by one space."""
-    parts = [
-        toks if n == 1 else F.when(F.size(toks) >= n, F.transform(
-            F.sequence(F.lit(1), F.size(toks) - (n - 1)),
-            lambda i, n=n: F.array_join(F.slice(toks, i, n), " "),
-        )).otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
-    ]
+    """All runs of ``low`` to ``high`` tokens, joined by one space.
+
+    Runs of n are runs of n - 1 zipped with the tokens n - 1 further on, so the work is
+    linear in the text; the padding at the end gives nulls, which are dropped.
+    """
+    runs, parts = toks, []
+    for n in range(1, high + 1):
+        if n > 1:
+            later = F.slice(toks, n, 2_000_000_000)
+            runs = F.array_compact(F.zip_with(runs, later, lambda a, b: F.concat(a, F.lit(" "), b)))
+        if n >= low:
+            parts.append(runs)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
@@ -200,7 +204,7 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     """
     points = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
     groups = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    picks = F.percentile("v", F.array(*[F.lit(p) for p in points]), "n")
+    picks = F.percentile("v", F.array(*[F.lit(p) for p in points]), F.col("n"))
     stats = df.agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"),
@@ -229,6 +233,10 @@ def to_sparse(idx: Column, val: Column, size: int) -> Column:
     return F.from_json(body, _VECTOR_STRUCT)["v"]
 
 
+def _shifted(idx: Column, by: int) -> Column:
+    return F.transform(idx, lambda i: i + by)
+
+
 def union_vectors(ids: DataFrame, row_id: str, blocks: list[tuple[DataFrame, int]], output: str) -> DataFrame:
     """One sparse vector per row of ``ids`` from blocks of weights side by side.
 
@@ -238,7 +246,7 @@ def union_vectors(ids: DataFrame, row_id: str, blocks: list[tuple[DataFrame, int
     idx, val = [], []
     for n, (block, size) in enumerate(blocks):
         joined = joined.join(block.select(row_id, F.col("idx").alias(f"_i{n}"), F.col("val").alias(f"_v{n}")), row_id, "left")
-        idx.append(F.transform(F.coalesce(f"_i{n}", F.array().cast("array<int>")), lambda i, o=offset: i + o))
+        idx.append(_shifted(F.coalesce(f"_i{n}", F.array().cast("array<int>")), offset))
         val.append(F.coalesce(f"_v{n}", F.array().cast("array<double>")))
         offset += size
     return joined.withColumn(output, to_sparse(F.concat(*idx), F.concat(*val), offset)).drop(

@@ -72,7 +72,7 @@ def confusion_matrix(df: DataFrame, truth: str, pred: str, labels: list[str]) ->
     """Fixed rows and columns in label order, zero-filled."""
     counts = (
         df.where(F.col(truth).isin(*labels)).groupBy(F.col(truth).alias("label"))
-        .pivot(pred, labels).agg(F.count("*"))
+        .pivot(pred, labels).agg(F.count(F.lit(1)))
     )
     return (
         _label_rows(df, labels).join(counts, "label", "left").na.fill(0, labels)

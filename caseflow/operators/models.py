@@ -34,6 +34,10 @@ def _label_name(index: Column, labels: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in labels]), (index + 1).cast("int"))
 
 
+def _shares(values: Column, total: Column, even: Column) -> Column:
+    return F.transform(values, lambda x: F.coalesce(F.try_divide(x, total), even))
+
+
 @dataclass
 class MajorityBaseline:
     """Always the most frequent training label; equal counts go by name."""
@@ -127,7 +131,10 @@ class IntentClassifier:
         folded = hashed_position(numbered, ["y"], row_id, self.seed, "_pos").withColumn(
             "fold", F.pmod(F.col("_pos") - 1, F.lit(self.folds)).cast("int")
         )
-        rows = materialize(folded.select("y", "fold", "features"), "features")
+        # the label's metadata names all classes, so a fold that lacks one keeps its place
+        classes = {"ml_attr": {"type": "nominal", "name": "y", "vals": labels}}
+        stored = materialize(folded.select("y", "fold", "features"), "features")
+        rows = stored.select(F.col("y").alias("y", metadata=classes), "fold", "features")
         # the rows are read once per solver step, so they are held on the executors
         rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).persist()
         try:
@@ -176,7 +183,7 @@ class IntentClassifier:
         low = F.create_map(*[F.lit(x) for (f, c), (p, n) in seen.items() for x in (f * k + c, 1.0 / (n - p + 2.0))])
         slot = (F.col("fold") * k + F.col("cls")).alias("slot")
         soft = long.select("margin", "hit", slot).withColumn(
-            "target", F.when("hit", F.element_at(high, F.col("slot"))).otherwise(F.element_at(low, F.col("slot")))
+            "target", F.when(F.col("hit"), F.element_at(high, F.col("slot"))).otherwise(F.element_at(low, F.col("slot")))
         )
         width = 2 * k * len(fitted)
         index = F.array((F.col("slot") * 2).cast("int"), (F.col("slot") * 2 + 1).cast("int"))
@@ -236,7 +243,7 @@ class IntentModel:
             scored = scored.withColumn(f"_p{n}", each)
             total = F.aggregate(f"_p{n}", F.lit(0.0), lambda s, x: s + x)
             even = F.lit(1.0 / len(self.labels))
-            share = F.transform(f"_p{n}", lambda x, tot=total: F.coalesce(F.try_divide(x, tot), even))
+            share = _shares(F.col(f"_p{n}"), total, even)
             averaged = share if averaged is None else F.zip_with(averaged, share, lambda x, y: x + y)
         mean = F.transform(averaged, lambda x: x / F.lit(float(len(self.fitted))))
         own = [f"_{c}{n}" for n in range(len(self.fitted)) for c in ("raw", "m", "p")]

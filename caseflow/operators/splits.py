@@ -119,7 +119,7 @@ def assign_splits(
 def split_stats(assignment: DataFrame, tags: list[str]) -> DataFrame:
     """Split by tag counts, zero where a pair does not occur."""
     return (
-        assignment.groupBy("split").pivot("heuristic_intent", tags).agg(F.count("*"))
+        assignment.groupBy("split").pivot("heuristic_intent", tags).agg(F.count(F.lit(1)))
         .na.fill(0, tags)
     )
 
@@ -221,7 +221,7 @@ def build_golden_set(
         "note",
         F.when(F.col("heuristic_intent") == pack.default,
                "no heuristic pattern matched -- candidate Other/Out-of-Scope or missed phrasing")
-        .when("is_multi", F.format_string(
+        .when(F.col("is_multi"), F.format_string(
             "heuristic multi-pattern match (%d patterns) -- candidate ambiguous/confusable example",
             F.col("n_pattern_hits")))
         .otherwise("heuristic single-pattern match"),
@@ -341,6 +341,6 @@ def text_leakage(first_messages: DataFrame, assignment: DataFrame) -> DataFrame:
         .groupBy("norm").agg(F.count_distinct("split").alias("splits"), F.count("*").alias("rows"))
     )
     return split_texts.agg(
-        F.count_if("splits > 1").alias("shared_texts"),
+        F.count_if(F.expr("splits > 1")).alias("shared_texts"),
         F.coalesce(F.sum(F.when(F.col("splits") > 1, F.col("rows"))), F.lit(0)).alias("rows_with_shared_text"),
     )

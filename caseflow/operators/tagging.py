@@ -44,7 +44,7 @@ def rule_shares(messages: DataFrame, pack: RulePack = packs.KEYWORD_PACK) -> Dat
 def overlap(messages: DataFrame, pack: RulePack = packs.REVIEW_PACK) -> DataFrame:
     """Counts for every pair of rules, from one pass.
 
-    ``rule_a, rule_b, a, b, both, a_only, b_only, pct_of_a``. Each row turns into the
+    ``rule_a, rule_b, a, b, n_both, a_only, b_only, pct_of_a``. Each row turns into the
     pairs of rules it hits, so the output depends on the pack's size alone.
     """
     flagged = messages.select(*[pack.flag(F.col("text"), n).alias(n) for n in pack.names])
@@ -54,12 +54,12 @@ def overlap(messages: DataFrame, pack: RulePack = packs.REVIEW_PACK) -> DataFram
     entries = ", ".join(f"'{a}', '{b}', `n_{a}`, `n_{b}`, `n_{a}__{b}`" for a, b in pairs)
     return (
         flagged.agg(*sums)
-        .selectExpr(f"stack({len(pairs)}, {entries}) AS (rule_a, rule_b, a, b, both)")
+        .selectExpr(f"stack({len(pairs)}, {entries}) AS (rule_a, rule_b, a, b, n_both)")
         .select(
-            "rule_a", "rule_b", "a", "b", "both",
-            (F.col("a") - F.col("both")).alias("a_only"),
-            (F.col("b") - F.col("both")).alias("b_only"),
-            F.coalesce(F.round(F.try_divide(100 * F.col("both"), F.col("a")), 1), F.lit(0.0)).alias("pct_of_a"),
+            "rule_a", "rule_b", "a", "b", "n_both",
+            (F.col("a") - F.col("n_both")).alias("a_only"),
+            (F.col("b") - F.col("n_both")).alias("b_only"),
+            F.coalesce(F.round(F.try_divide(100 * F.col("n_both"), F.col("a")), 1), F.lit(0.0)).alias("pct_of_a"),
         )
     )
 

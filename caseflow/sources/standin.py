@@ -1,7 +1,8 @@
 """The test tables seen as a support-message table.
 
 A conversation's turns become messages: each answers the turn before it, assistants are
-brand accounts, users are customers. System turns are left out.
+brand accounts, users are customers. System turns are left out. In every seventh
+conversation each turn is another brand's, so that shared conversations occur too.
 """
 
 from __future__ import annotations
@@ -37,11 +38,13 @@ def messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").where("role <> 'system'")
     tweet_id = F.col("conv_id") * 1000 + F.col("turn")
     inbound = F.col("role") == "user"
+    shift = F.when(F.col("conv_id") % 7 == 0, F.col("turn")).otherwise(F.lit(0))
+    brand = (F.col("conv_id") + shift) % BRANDS
     sent = F.timestamp_seconds(F.lit(FIRST_SECOND) + tweet_id)
     return turns.select(
         tweet_id.alias("tweet_id"),
         F.when(inbound, F.concat(F.lit("cust_"), F.col("conv_id").cast("string")))
-        .otherwise(F.concat(F.lit("brand_"), (F.col("conv_id") % BRANDS).cast("string"))).alias("author_id"),
+        .otherwise(F.concat(F.lit("brand_"), brand.cast("string"))).alias("author_id"),
         inbound.alias("inbound"),
         F.date_format(sent, "EEE MMM dd HH:mm:ss Z yyyy").alias("created_at"),
         "text",
