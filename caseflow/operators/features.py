@@ -81,31 +81,32 @@ def word_ngrams(toks: Column, low: int, high: int) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def char_ngrams(word: Column, low: int, high: int) -> Column:
-    """All runs of characters of one padded word; a short word gives itself once."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    size = F.length(padded)
-    longest = F.least(F.lit(high), F.greatest(size, F.lit(low)))
-    return F.flatten(F.transform(
-        F.sequence(F.lit(low), longest),
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.greatest(size - n, F.lit(0)) + 1),
-            lambda i: F.substring(padded, i, n),
-        ),
-    ))
+def char_ngrams(words: DataFrame, keep: list[str], low: int, high: int) -> DataFrame:
+    """``keep..., term``: all runs of characters of each ``word``, padded by a space a side.
+
+    A word shorter than ``low`` gives itself once. Start and length are exploded and the
+    runs are cut by ``substring``, which stays in generated code, unlike nested lambdas.
+    """
+    padded = words.select(*keep, F.concat(F.lit(" "), "word", F.lit(" ")).alias("_p"))
+    starts = padded.select(*keep, "_p", F.length("_p").alias("_n"), F.explode(F.sequence(F.lit(1), F.length("_p"))).alias("_at"))
+    runs = starts.select(*keep, "_p", "_n", "_at", F.explode(F.array(*[F.lit(n) for n in range(low, high + 1)])).alias("_len"))
+    fits = F.col("_at") + F.col("_len") - 1 <= F.col("_n")
+    short = (F.col("_at") == 1) & (F.col("_len") == low) & (F.col("_n") < low)
+    return runs.where(fits | short).select(*keep, F.substring(F.col("_p"), F.col("_at"), F.col("_len")).alias("term"))
 
 
 def term_counts(docs: DataFrame, row_id: str, text: str, spec: TermSpec, by: tuple[str, ...] = ()) -> DataFrame:
     """``by..., row_id, term, tf``, one row per document and term."""
     placed = docs.select(*by, row_id, text).repartition(F.col(row_id))
     if spec.kind == "word":
-        terms = placed.select(*by, row_id, F.explode(word_ngrams(tokens(F.col(text), spec), spec.low, spec.high)).alias("term"))
+        split = placed.select(*by, row_id, tokens(F.col(text), spec).alias("toks"))
+        terms = split.select(*by, row_id, F.explode(word_ngrams(F.col("toks"), spec.low, spec.high)).alias("term"))
         return terms.groupBy(*by, row_id, "term").agg(F.count("*").alias("tf"))
     # a repeated word is cut up once, and its n-grams count as often as it occurs
     spaced = F.split(F.regexp_replace(F.lower(text), r"(?U)\s+", " "), " ")
     found = placed.select(*by, row_id, F.explode(spaced).alias("word")).where("word <> ''")
     counted = found.groupBy(*by, row_id, "word").agg(F.count("*").alias("n"))
-    grams = counted.select(*by, row_id, F.explode(char_ngrams(F.col("word"), spec.low, spec.high)).alias("term"), "n")
+    grams = char_ngrams(counted, [*by, row_id, "n"], spec.low, spec.high)
     return grams.groupBy(*by, row_id, "term").agg(F.sum("n").alias("tf"))
 
 
@@ -159,13 +160,16 @@ def weights(counts: DataFrame, vocab: DataFrame, row_id: str, spec: TermSpec, by
     tf = F.col("tf").cast("double")
     scaled = (F.lit(1.0) + F.log(tf)) if spec.sublinear else tf
     weighed = counts.join(table, [*by, "term"]).withColumn("w", scaled * F.col("idf"))
-    # the list of one document is bounded by the vocabulary
-    packed = weighed.groupBy(*by, row_id).agg(F.array_sort(F.collect_list(F.struct("idx", "w"))).alias("p"))
-    norm = F.sqrt(F.aggregate("p", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
-    return packed.withColumn("_norm", norm).select(
+    # the list of one document is bounded by the vocabulary; the length comes from the same
+    # grouping, since a norm computed inside the lambda would run once per element
+    packed = weighed.groupBy(*by, row_id).agg(
+        F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("p"),
+        F.sum(F.col("w") * F.col("w")).alias("_square"),
+    )
+    return packed.select(
         *by, row_id,
         F.col("p.idx").alias("idx"),
-        F.transform("p", lambda x: x["w"] / F.col("_norm")).alias("val"),
+        F.transform("p", lambda x: x["w"] / F.sqrt("_square")).alias("val"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,6 +17,11 @@ from caseflow.operators import features as fx
 from caseflow.operators.ranks import hashed_position
 from caseflow.session import materialize
 
+# Stop when the loss settles to this share; it matches common solver settings.
+TOLERANCE = 5e-4
+NEWTON_STEPS = 40
+ROWS_PER_TASK = 1_000
+
 # Thresholds of the classifier's own confidence flag.
 MIN_CONFIDENCE = 0.55
 MIN_MARGIN = 0.10
@@ -34,6 +40,11 @@ def _label_name(index: Column, labels: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in labels]), (index + 1).cast("int"))
 
 
+def _spread(rows: DataFrame, n: int) -> DataFrame:
+    """Training rows over as many tasks as they can keep busy in a solver step."""
+    return rows.repartition(max(1, -(-n // ROWS_PER_TASK)))
+
+
 def _shares(values: Column, total: Column, even: Column) -> Column:
     return F.transform(values, lambda x: F.coalesce(F.try_divide(x, total), even))
 
@@ -80,10 +91,11 @@ class TfidfLogisticBaseline:
             "label", _label_index(F.col(label), self.labels)
         )
         rows = materialize(rows.select("label", "features"), "baseline-features")
+        n = rows.count()
         self.model = LogisticRegression(
-            family="multinomial", regParam=1.0 / (self.c * rows.count()), elasticNetParam=0.0,
-            standardization=False, maxIter=self.max_iter,
-        ).fit(rows)
+            family="multinomial", regParam=1.0 / (self.c * n), elasticNetParam=0.0,
+            standardization=False, maxIter=self.max_iter, tol=TOLERANCE,
+        ).fit(_spread(rows, n))
         return self
 
     def transform(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
@@ -136,7 +148,7 @@ class IntentClassifier:
         stored = materialize(folded.select("y", "fold", "features"), "features")
         rows = stored.select(F.col("y").alias("y", metadata=classes), "fold", "features")
         # the rows are read once per solver step, so they are held on the executors
-        rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).persist()
+        rows = _spread(rows, stored.count()).persist()
         try:
             with ThreadPoolExecutor(self.folds) as pool:
                 fitted = list(pool.map(lambda f: self._fit_fold(rows, f, len(labels)), range(self.folds)))
@@ -153,17 +165,16 @@ class IntentClassifier:
         weighted = part.withColumn("weight", F.element_at(table, F.col("y")))
         return LogisticRegression(
             labelCol="y", weightCol="weight", family="multinomial", regParam=1.0 / (self.c * n),
-            elasticNetParam=0.0, standardization=False, maxIter=self.max_iter,
+            elasticNetParam=0.0, standardization=False, maxIter=self.max_iter, tol=TOLERANCE,
         ).fit(weighted)
 
     def _fit_sigmoids(
         self, rows: DataFrame, fitted: list[LogisticRegressionModel], k: int
     ) -> list[list[tuple[float, float]]]:
-        """Slope and intercept per fold and class.
+        """Slope and intercept per fold and class, fitted to smoothed 0/1 targets.
 
-        All sigmoids are fitted as one regression: each (fold, class) pair has its own
-        two columns, slope and intercept, so they do not touch each other. A held-out
-        row gives a weighted positive and negative per class, the smoothed targets.
+        All sigmoids take their Newton steps together: a step is one grouped sum over the
+        held-out margins, and 20 to 40 rows of sums reach the driver.
         """
         held = None
         for fold, model in enumerate(fitted):
@@ -172,40 +183,51 @@ class IntentClassifier:
             )
             held = scored if held is None else held.unionByName(scored)
         long = held.select("y", "fold", F.posexplode("m").alias("cls", "margin"))
-        long = materialize(
-            long.select("fold", "cls", "margin", (F.col("y") == F.col("cls")).alias("hit")), "margins"
+        slot = F.col("fold") * k + F.col("cls")
+        points = materialize(
+            long.select(slot.alias("slot"), "margin", (F.col("y") == F.col("cls")).alias("hit")), "margins"
         )
-        seen = {
-            (r["fold"], r["cls"]): (r["p"], r["n"])
-            for r in long.groupBy("fold", "cls").agg(F.count_if("hit").alias("p"), F.count("*").alias("n")).collect()
-        }
-        high = F.create_map(*[F.lit(x) for (f, c), (p, _) in seen.items() for x in (f * k + c, (p + 1.0) / (p + 2.0))])
-        low = F.create_map(*[F.lit(x) for (f, c), (p, n) in seen.items() for x in (f * k + c, 1.0 / (n - p + 2.0))])
-        slot = (F.col("fold") * k + F.col("cls")).alias("slot")
-        soft = long.select("margin", "hit", slot).withColumn(
-            "target", F.when(F.col("hit"), F.element_at(high, F.col("slot"))).otherwise(F.element_at(low, F.col("slot")))
-        )
-        width = 2 * k * len(fitted)
-        index = F.array((F.col("slot") * 2).cast("int"), (F.col("slot") * 2 + 1).cast("int"))
-        points = soft.select(
-            fx.to_sparse(index, F.array(F.col("margin"), F.lit(1.0)), width).alias("features"),
-            F.explode(F.array(
-                F.struct(F.lit(1.0).alias("label"), F.col("target").alias("weight")),
-                F.struct(F.lit(0.0).alias("label"), (1 - F.col("target")).alias("weight")),
-            )).alias("e"),
-        ).select("features", "e.label", "e.weight")
-        points = points.persist()
+        seen = points.groupBy("slot").agg(F.count_if("hit").alias("p"), F.count("*").alias("n")).collect()
+        size = k * len(fitted)
+        high, low, at = [1.0] * size, [0.0] * size, [(0.0, 0.0)] * size
+        for r in seen:
+            high[r["slot"]] = (r["p"] + 1.0) / (r["p"] + 2.0)
+            low[r["slot"]] = 1.0 / (r["n"] - r["p"] + 2.0)
+            at[r["slot"]] = (0.0, math.log((r["p"] + 1.0) / (r["n"] - r["p"] + 1.0)))
+        pick = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("slot") + 1)
+        points = points.withColumn("goal", F.when(F.col("hit"), pick(high)).otherwise(pick(low))).persist()
         try:
-            joint = LogisticRegression(
-                family="binomial", weightCol="weight", fitIntercept=False, regParam=0.0, maxIter=300, tol=1e-9
-            ).fit(points)
+            return self._newton(points, pick, at, k)
         finally:
             points.unpersist()
-        w = joint.coefficients.toArray()
-        return [
-            [(float(w[2 * (f * k + c)]), float(w[2 * (f * k + c) + 1])) for c in range(k)]
-            for f in range(len(fitted))
-        ]
+
+    def _newton(self, points: DataFrame, pick, at: list[tuple[float, float]], k: int) -> list[list[tuple[float, float]]]:
+        kept, loss = list(at), [math.inf] * len(at)
+        for _ in range(NEWTON_STEPS):
+            z = pick([a for a, _ in at]) * F.col("margin") + pick([b for _, b in at])
+            p, m = 1.0 / (1.0 + F.exp(-z)), F.col("margin")
+            bend = p * (1 - p)
+            sums = points.groupBy("slot").agg(
+                F.sum(F.log1p(F.exp(-F.abs(z))) + F.greatest(z, F.lit(0.0)) - F.col("goal") * z).alias("loss"),
+                F.sum((p - F.col("goal")) * m).alias("ga"), F.sum(p - F.col("goal")).alias("gb"),
+                F.sum(bend * m * m).alias("haa"), F.sum(bend * m).alias("hab"), F.sum(bend).alias("hbb"),
+            ).collect()
+            moved = 0.0
+            for r in sums:
+                s = r["slot"]
+                if r["loss"] > loss[s] + 1e-9:  # too far: go back half the way
+                    at[s] = tuple((x + y) / 2 for x, y in zip(kept[s], at[s]))
+                    moved = max(moved, *(abs(x - y) for x, y in zip(kept[s], at[s])))
+                    continue
+                kept[s], loss[s] = at[s], r["loss"]
+                haa, hbb = r["haa"] + 1e-9, r["hbb"] + 1e-9
+                det = haa * hbb - r["hab"] ** 2
+                da, db = (hbb * r["ga"] - r["hab"] * r["gb"]) / det, (haa * r["gb"] - r["hab"] * r["ga"]) / det
+                at[s] = (kept[s][0] - da, kept[s][1] - db)
+                moved = max(moved, abs(da), abs(db))
+            if moved < 1e-5:
+                break
+        return [kept[f:f + k] for f in range(0, len(kept), k)]
 
 
 @dataclass
