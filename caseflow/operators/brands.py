@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import text as t
 from caseflow.operators import features as fx
+from caseflow.operators.joins import skewed_join
 from caseflow.operators.ranks import top_n
 from caseflow.session import materialize
 
@@ -63,7 +64,7 @@ def brand_texts(messages: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     return (
-        texts.join(brand_components(messages).select("brand", "component_id"), "component_id")
+        skewed_join(texts, brand_components(messages).select("brand", "component_id"), "component_id")
         .groupBy("brand", "norm").agg(F.sum("n").alias("n"))
     )
 

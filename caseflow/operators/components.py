@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.operators.joins import skewed_join
+from caseflow.operators.ranks import HOT_ROWS
 from caseflow.session import materialize
 
 
-def parent_links(messages: DataFrame, use_responses: bool = True) -> DataFrame:
+def parent_links(messages: DataFrame, use_responses: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``tweet_id -> parent`` where the parent is a row of the table; else parent is null.
 
     A message that names no parent may be named in the response list of another one;
@@ -30,24 +32,25 @@ def parent_links(messages: DataFrame, use_responses: bool = True) -> DataFrame:
             "tweet_id", F.coalesce("parent", "by").alias("parent")
         )
     known = messages.select(F.col("tweet_id").alias("parent"), F.lit(True).alias("known"))
-    return links.join(known.distinct(), "parent", "left").select(
-        "tweet_id", F.when(F.col("known"), F.col("parent")).alias("parent")
+    # rows without a parent carry no key; they keep out of the join
+    linked = skewed_join(links.where("parent IS NOT NULL"), known.distinct(), "parent", "left", hot_rows)
+    return links.where("parent IS NULL").unionByName(
+        linked.select("tweet_id", F.when(F.col("known"), F.col("parent")).alias("parent"))
     )
 
 
-def reply_components(messages: DataFrame, use_responses: bool = True) -> DataFrame:
+def reply_components(messages: DataFrame, use_responses: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``tweet_id, component_id``: the id of the message that starts the thread.
 
     Pointer doubling: each round a message skips to its pointer's pointer, so a thread of
     depth d needs log2(d) rounds. Only messages that have not met a root take part, and
-    only they are written again; each round's table cuts the lineage. A popular parent
-    gives a hot join key; the looked-up side has one row per message, so adaptive
-    skew-join handling splits the hot side without copying more than one row.
+    only they are written again; each round's table cuts the lineage. A popular parent is a
+    hot join key, which the join handles apart.
 
     A round that settles nobody shows that only cycles are left. Their messages keep
     doubling until each pointer has gone all the way round, and take the lowest id there.
     """
-    links = parent_links(messages, use_responses)
+    links = parent_links(messages, use_responses, hot_rows)
     first = materialize(
         links.select(
             "tweet_id",
@@ -67,7 +70,7 @@ def reply_components(messages: DataFrame, use_responses: bool = True) -> DataFra
             F.col("settled").alias("next_settled"),
         )
         moved = materialize(
-            moving.join(ahead, "pointer").select(
+            skewed_join(moving, ahead, "pointer", hot_rows=hot_rows).select(
                 "tweet_id",
                 F.col("next_pointer").alias("pointer"),
                 F.least("lowest", "next_lowest").alias("lowest"),

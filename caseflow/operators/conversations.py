@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseflow.functions import text as t
 from caseflow.functions.packs import TAXONOMY
 from caseflow.functions.rules import Taxonomy
+from caseflow.operators.joins import skewed_join
 from caseflow.operators.ranks import HOT_ROWS, ordered_position
 
 TRAIN_SPLIT = "train_retrieval"
@@ -19,6 +20,7 @@ def parse_created_at(col: Column) -> Column:
 
 
 def attach_components(messages: DataFrame, components: DataFrame) -> DataFrame:
+    """Both sides have one row per message, so no key is hot."""
     return messages.join(components, "tweet_id")
 
 
@@ -48,7 +50,7 @@ def build_conversations(
     """Rules 1 to 5, then the 0-based turn within the component by time and id."""
     keep = kept_components(component_flags(messages, brand))
     rows = (
-        messages.join(keep, "component_id", "left_semi")
+        skewed_join(messages, keep, "component_id", "left_semi", hot_rows)
         .withColumn("created_at", parse_created_at(F.col("created_at")))
         .where(F.col("text").isNotNull() & ~t.is_blank(F.col("text")))
         .where(F.col("created_at").isNotNull())
@@ -64,7 +66,7 @@ def turn_index(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     ).withColumn("turn_index", F.col("turn_index").cast("long"))
 
 
-def drop_accounting(messages: DataFrame, brand: Column) -> DataFrame:
+def drop_accounting(messages: DataFrame, brand: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``rule, dropped_components, dropped_rows, kept_components, kept_rows`` per rule.
 
     The rules run in order: each counts only what the earlier ones left.
@@ -78,7 +80,7 @@ def drop_accounting(messages: DataFrame, brand: Column) -> DataFrame:
         .otherwise(9).alias("component_stage"),
     )
     is_null = F.col("text").isNull()
-    rows = messages.join(staged, "component_id").select(
+    rows = skewed_join(messages, staged, "component_id", hot_rows=hot_rows).select(
         "component_id",
         F.when(F.col("component_stage") < 9, F.col("component_stage"))
         .when(is_null | t.is_blank(F.col("text")), 4)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from caseflow import schemas
 from caseflow.operators import components, ranks
 from caseflow.operators import conversations as conv
+from caseflow.operators.joins import skewed_join
 
 T0 = "Tue Oct 31 22:10:%02d +0000 2017"
 
@@ -26,7 +27,10 @@ ROWS = [
 
 def test_rules_and_turns(spark):
     built = conv.build_conversations(raw(spark, ROWS), F.lit("us")).orderBy("component_id", "turn_index").collect()
-    assert [(r.component_id, r.tweet_id, r.turn_index) for r in built] == [(1, 1, 0), (1, 2, 1), (1, 3, 2), (5, 43, 0)]
+    want = [(1, 1, 0), (1, 2, 1), (1, 3, 2), (5, 43, 0)]
+    assert [(r.component_id, r.tweet_id, r.turn_index) for r in built] == want
+    hot = conv.build_conversations(raw(spark, ROWS), F.lit("us"), hot_rows=2)
+    assert sorted((r.component_id, r.tweet_id, r.turn_index) for r in hot.collect()) == want
 
 
 def test_drop_accounting(spark):
@@ -68,6 +72,16 @@ def test_components(spark):
     want = {i: 100 for i in range(100, 137)} | {1: 1, 2: 1, 3: 1, 4: 1} | {50: 50, 51: 50}
     want |= {60: 60, 61: 60, 62: 60} | {i: 70 for i in (68, 69, 70, 71, 72)}
     assert got == want
+    split = components.reply_components(links(spark, chain + tree + orphan + named + cycle), hot_rows=1)
+    assert {r.tweet_id: r.component_id for r in split.collect()} == want
+
+
+def test_hot_keys_change_no_join(spark):
+    rows = spark.createDataFrame([(i, 0 if i < 50 else i) for i in range(70)], "id long, k long")
+    table = spark.createDataFrame([(0, "a"), (0, "b"), (55, "c")], "k long, v string")
+    for how in ("inner", "left", "left_semi"):
+        plain = sorted(map(str, rows.join(table, "k", how).collect()))
+        assert sorted(map(str, skewed_join(rows, table, "k", how, hot_rows=10).collect())) == plain
 
 
 def test_resolution_pairs(spark):
