@@ -8,6 +8,7 @@ sums on the way to the vocabulary.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import StopWordsRemover
@@ -134,13 +135,11 @@ def vocabulary(counts: DataFrame, doc_count: DataFrame, spec: TermSpec, by: tupl
         totals = totals.withColumn("idx", F.row_number().over(W.partitionBy(*group).orderBy("term")) - 1)
     else:
         totals = totals.withColumn("idx", F.lit(None).cast("int"))
-    idf = F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1
     if by:
-        joined = totals.join(doc_count, list(by))
+        joined, n_docs = totals.join(doc_count, list(by)), F.col("n_docs")
     else:
-        joined = totals.withColumn("_k", F.lit(1)).join(
-            F.broadcast(doc_count.withColumn("_k", F.lit(1))), "_k"
-        ).drop("_k")
+        joined, n_docs = totals, F.lit(doc_count.first()[0])
+    idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
     return joined.select(*by, "term", "df", "cf", idf.alias("idf"), "idx")
 
 
@@ -200,24 +199,46 @@ def top_terms(
     )
 
 
+BINS = 10_000
+POINTS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
+
+
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact percentiles of a numeric column.
 
-    Exact percentiles need the count of each distinct value only, so a narrow column of
-    word counts or prices stays small however many rows there are.
+    Percentiles interpolate between two ranks. Distinct values are counted, cut into bins
+    between the extremes and numbered within a bin, after the rows of lower bins; no task
+    holds all values, and the rows around the wanted ranks are all that is left at the end.
     """
-    points = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
-    groups = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    picks = F.percentile("v", F.array(*[F.lit(p) for p in points]), F.col("n"))
+    from pyspark.sql import Window as W
+
     stats = df.agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"),
-    ).withColumn("_k", F.lit(1))
-    spread = groups.agg(picks.alias("p")).select(
-        F.lit(1).alias("_k"),
-        *[F.element_at("p", i + 1).alias(f"p{int(p * 100)}") for i, p in enumerate(points)],
+    ).first()
+    n, low, span = stats["count"], stats["min"] or 0.0, (stats["max"] or 0.0) - (stats["min"] or 0.0)
+    share = (F.col("v") - low) / (span or 1.0)
+    values = (
+        df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
+        .agg(F.count("*").alias("ties")).withColumn("bin", F.floor(share * BINS))
     )
-    return stats.join(spread, "_k").drop("_k")
+    before = W.partitionBy(F.lit(1)).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = values.groupBy("bin").agg(F.sum("ties").alias("rows")).select(
+        "bin", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift"))
+    within = W.partitionBy("bin").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    start = F.col("shift") + F.coalesce(F.sum("ties").over(within), F.lit(0))
+    placed = values.join(bins, "bin").select("v", start.alias("start"), (start + F.col("ties")).alias("stop"))
+
+    def at(rank: int) -> Column:
+        return F.max(F.when((F.col("start") <= rank) & (F.lit(rank) < F.col("stop")), F.col("v")))
+
+    spread = []
+    for p in POINTS:
+        exact = max(n - 1, 0) * p
+        below = at(math.floor(exact))
+        spread.append((below + (at(math.ceil(exact)) - below) * (exact - math.floor(exact))).alias(f"p{int(p * 100)}"))
+    known = [F.lit(stats[c]).cast("long" if c == "count" else "double").alias(c) for c in ("count", "mean", "std", "min", "max")]
+    return placed.agg(*spread).select(*known, "*")
 
 
 def length_distribution(messages: DataFrame) -> DataFrame:

@@ -158,10 +158,10 @@ def _average_ranks(pairs: DataFrame, side: str, by: list[str], width: float) ->
 
 def _pearson(x: str, y: str) -> Column:
     """Weighted by ``n``; 1.0 where a side does not vary (built-in ``corr`` would raise)."""
-    dx, dy, n = F.col(x) - F.col(f"mean_{x}"), F.col(y) - F.col(f"mean_{y}"), F.col("n")
+    n = F.col("n")
+    moment = lambda u, v: F.sum(n * F.col(u) * F.col(v)) - F.sum(n * F.col(u)) * F.sum(n * F.col(v)) / F.sum(n)
     varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    spread = F.sqrt(F.sum(n * dx * dx)) * F.sqrt(F.sum(n * dy * dy))
-    return F.when(varies, F.try_divide(F.sum(n * dx * dy), spread)).otherwise(F.lit(1.0))
+    return F.when(varies, F.try_divide(moment(x, y), F.sqrt(moment(x, x)) * F.sqrt(moment(y, y)))).otherwise(F.lit(1.0))
 
 
 def agreement(df: DataFrame, a: str, b: str, by: tuple[str, ...] = (), bin_width: float = 1.0) -> DataFrame:
@@ -181,11 +181,9 @@ def agreement(df: DataFrame, a: str, b: str, by: tuple[str, ...] = (), bin_width
     for side in ("a", "b"):
         ranked = ranked.join(_average_ranks(pairs, side, group, bin_width), [*group, side])
     n = F.col("n")
-    measured = ["a", "b", "rank_a", "rank_b"]
-    means = ranked.groupBy(*group).agg(*[(F.sum(n * F.col(c)) / F.sum(n)).alias(f"mean_{c}") for c in measured])
     gap = F.abs(F.col("a") - F.col("b"))
     share = lambda c: F.round(100 * F.sum(F.when(c, n).otherwise(0)) / F.sum(n), 2)
-    return ranked.join(F.broadcast(means), group).groupBy(*group).agg(
+    return ranked.groupBy(*group).agg(
         F.sum(n).alias("sample_size"),
         share(gap == 0).alias("exact_agreement_pct"),
         share(gap <= 1).alias("within_1_pct"),

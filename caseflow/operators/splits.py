@@ -293,9 +293,8 @@ def validate_labels(
         "'intent empty', empty_intent, 'difficulty empty', empty_difficulty) AS (check, violations)"
     )
     named = lambda df, name: df.select(F.lit(name).alias("check"), "violations")
-    size = golden.agg(F.count("*").alias("g")).select(F.lit(1).alias("k"), "g").join(
-        labels.agg(F.count("*").alias("l")).select(F.lit(1).alias("k"), "l"), "k"
-    ).select(F.lit("size difference").alias("check"), F.abs(F.col("g") - F.col("l")).alias("violations"))
+    sizes = golden.agg(F.count("*").alias("n")).unionByName(labels.agg((-F.count("*")).alias("n")))
+    size = sizes.agg(F.abs(F.sum("n")).alias("violations")).select(F.lit("size difference").alias("check"), "violations")
     return (
         named(missing, "golden id without label")
         .unionByName(named(unknown, "label without golden id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,10 +70,8 @@ def headline(evaluated: DataFrame, quotas: dict[str, int] = packs.REVIEW_QUOTAS,
     quality = metrics.reply_quality(evaluated).select("mean_total_score", "safe_pct")
     agree = metrics.agreement(review_sample(evaluated, quotas, taxonomy=taxonomy), "review_total_score", "total_score")
     parts = [rates, inside, escalation, quality, agree.select(F.struct("*").alias("judge_agreement"))]
-    joined = None
-    for part in parts:  # every part is one row
-        keyed = part.withColumn("_k", F.lit(1))
-        joined = keyed if joined is None else joined.join(keyed, "_k", "left")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    joined = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])  # every part is one row
     return joined.select(
         F.col("total").alias("golden_set_total"),
         F.col("n").alias("in_scope_count"),
