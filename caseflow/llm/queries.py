@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate
+from caseflow.llm import decontaminate, neardup
 from caseflow.llm.tables import table
 
 
@@ -14,7 +14,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op9_decontamination": op9_decontamination,
 }
 
@@ -23,6 +29,23 @@ SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstu
 SQL_WORDS = "regexp_extract_all(" + SQL_LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op2_near_duplicates": rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS sh
+      FROM (SELECT r, ws, unnest(range(1, greatest(1, len(ws) - 2) + 1)) AS i FROM d WHERE len(ws) > 0)),
+named AS (SELECT r, doc_id, count(sh) AS n, md5(coalesce(string_agg(sh, '|' ORDER BY sh), '')) AS name
+          FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id),
+node AS (SELECT name, n, min(doc_id) AS id, min(r) AS r FROM named WHERE n > 0 GROUP BY name, n),
+ns AS (SELECT id, n, sh FROM node JOIN s USING (r)),
+near AS (SELECT a.id AS a, b.id AS b FROM ns a JOIN ns b ON a.sh = b.sh AND a.id <> b.id
+         GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(id, c) AS (SELECT id, id FROM node UNION SELECT near.b, reach.c FROM reach JOIN near ON near.a = reach.id),
+comp AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT doc_id, CAST(named.n AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id,
+       doc_id = coalesce(c, doc_id) AS kept
+FROM named LEFT JOIN node ON named.name = node.name AND named.n = node.n LEFT JOIN comp USING (id)""",
     "op9_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
 i AS (SELECT item_id, {SQL_WORDS.format("text")} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),

@@ -25,3 +25,41 @@ def distinct_name(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+BIT_WORDS = 1 << 17
+
+
+def _marked(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` with ``_mark``: false only where no row of ``wanted`` has the row's ``key``.
+
+    The keys of ``wanted`` are folded into 2**23 bits. That table has at most 2**17 rows of two numbers
+    however many keys there are, so it can always be broadcast, and ``df`` is not shuffled.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(BIT_WORDS * 64))
+    bits = (
+        wanted.select(at.alias("_at"))
+        .groupBy(F.expr("cast(_at div 64 AS int)").alias("_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_at % 64 AS int))")).alias("_bits"))
+    )
+    placed = df.withColumn("_at", at).withColumn("_word", F.expr("cast(_at div 64 AS int)"))
+    mark = F.expr("_bits IS NOT NULL AND shiftright(_bits, cast(_at % 64 AS int)) & 1L = 1L")
+    return placed.join(F.broadcast(bits), "_word", "left").withColumn("_mark", mark).drop("_at", "_word", "_bits")
+
+
+def likely_rows(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``wanted``, and perhaps some others. Nothing is shuffled."""
+    return _marked(df, key, wanted).where("_mark").drop("_mark")
+
+
+def without_rows(df: DataFrame, id_col: str, text_col: str, unwanted: DataFrame) -> DataFrame:
+    """``df`` without the rows whose id and text key are in ``unwanted`` (columns ``id``, ``key``), copies of a row once.
+
+    ``unwanted`` must also list, with ``again`` true, the keys of rows that stand in ``df`` more than once. Only
+    rows that may be listed are shuffled.
+    """
+    unwanted = materialize(unwanted, "unwanted")
+    marked = _marked(df, id_col, unwanted.withColumnRenamed("id", id_col))
+    listed = marked.where("_mark").drop("_mark").withColumn("_key", text_key(F.col(text_col))).dropDuplicates([id_col, "_key"])
+    gone = unwanted.where("NOT again").select(F.col("id").alias("_id"), F.col("key").alias("_gone")).distinct()
+    left = listed.join(gone, (F.col(id_col) == F.col("_id")) & (F.col("_key") == F.col("_gone")), "left_anti").select(*df.columns)
+    return marked.where("NOT _mark").select(*df.columns).unionByName(left)
