@@ -6,13 +6,16 @@ a-z. Equal words have equal hashes; different words differ but for a chance of a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
+BATCH_BYTES = 1 << 22
 _ODD = U64(0x9E3779B97F4A7C15)
 
 
@@ -112,3 +115,15 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
         total = (total ^ hashes[k : k + n]) * U64(0xD6E8FEB86659FD93)
         total ^= total >> U64(32)
     return mix(total)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``most`` bytes of text, so that what a task derives from them stays small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+        total, first = np.cumsum(sizes, dtype=np.int64), 0
+        while first < batch.num_rows:
+            done = int(total[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(total, done + most, "right")))
+            yield batch.slice(first, last - first)
+            first = last
