@@ -6,9 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate, language, neardup
+from caseflow.llm import decontaminate, language, mixing, neardup, packing
 from caseflow.llm.tables import table
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+END_OF_TEXT = 50256
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, pad_id=END_OF_TEXT)
+
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -24,8 +35,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language": op3_language,
+    "op6_token_packing": op6_token_packing,
     "op9_decontamination": op9_decontamination,
 }
 
@@ -33,7 +46,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL_WORDS = "regexp_extract_all(" + SQL_LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _sql_seeded(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws(':', 'mix', {', '.join(parts)})), 1, 15) AS BIGINT)"
+
+
+def _sql_apportion(name: str, source: str, group: str, tie: str, weight: str, seats: str) -> str:
+    """Sainte-Lague seats as ``got`` in a CTE ``name``; all seats by their quotients, from rounded shares on."""
+    return f"""
+{name}_a AS (SELECT *, sum({weight}) OVER g AS w_, count(*) OVER g AS n_, floor({seats} * {weight} / sum({weight}) OVER g + 0.5) AS base
+             FROM {source} WINDOW g AS (PARTITION BY {group})),
+{name}_b AS (SELECT *, max({seats}) OVER g - sum(base) OVER g AS open_ FROM {name}_a WINDOW g AS (PARTITION BY {group})),
+{name}_c AS (SELECT *, unnest(range(1, CAST(CASE WHEN open_ > 0 THEN n_ + open_ ELSE least(n_ - open_, base) END AS BIGINT) + 1)) AS k
+             FROM {name}_b WHERE open_ <> 0),
+{name}_d AS (SELECT {group}, {tie}, sign(open_) AS step, row_number() OVER (PARTITION BY {group} ORDER BY
+               CASE WHEN open_ > 0 THEN -{weight} / (2 * base + 2 * k - 1) ELSE {weight} / (2 * base - 2 * k + 1) END, {tie}, k) AS place, abs(open_) AS most
+             FROM {name}_c),
+{name} AS (SELECT b.*, base + coalesce((SELECT sum(step) FROM {name}_d x WHERE x.{group} = b.{group} AND x.{tie} = b.{tie} AND place <= most), 0) AS got
+           FROM {name}_b b)"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_mixing": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM d GROUP BY source),
+o AS (SELECT *, CASE sid % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM src),
+p AS (SELECT *, sum(s) OVER () AS t, sum(w) OVER () AS ww, coalesce(sum(3 * s) OVER b, 0) AS full_, coalesce(sum(w) OVER b, 0) AS gone
+      FROM o WINDOW b AS (ORDER BY 3.0 * s / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, w * CAST(t - full_ AS DOUBLE) / CAST(ww - gone AS DOUBLE) > 3 * s AS capped FROM p),
+l AS (SELECT t - full_ AS left_, ww - gone AS open_ FROM c WHERE NOT capped ORDER BY full_, gone LIMIT 1),
+tg AS (SELECT sid, source, s, CASE WHEN capped THEN CAST(3 * s AS DOUBLE) ELSE w * CAST(left_ AS DOUBLE) / CAST(open_ AS DOUBLE) END AS target,
+              0 AS one, CAST((t + 8) // 16 AS BIGINT) AS seats FROM c, l),
+{_sql_apportion("bs", "tg", "one", "sid", "target", "seats")},
+pl AS (SELECT r, doc_id, size, sid, got, {_sql_seeded("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h,
+              greatest(1, CAST(ceil(s / 65536) AS BIGINT)) AS shards FROM d JOIN bs ON d.source IS NOT DISTINCT FROM bs.source),
+ps AS (SELECT *, h % shards AS shard FROM pl),
+sh AS (SELECT sid, shard, CAST(sum(size) AS BIGINT) AS words, max(got) AS blocks FROM ps GROUP BY sid, shard),
+{_sql_apportion("q", "sh", "sid", "shard", "words", "blocks")},
+qq AS (SELECT sid, shard, words, CAST(least(got * 16, 3 * words) AS BIGINT) AS ask,
+              ({_sql_seeded("sid", "shard")} // 16) % greatest(1, (words + 15) // 16) * 16 AS start FROM q),
+st AS (SELECT ps.*, words, ask, start, ask - ask // words * words AS rest,
+              CAST(sum(size) OVER (PARTITION BY sid, shard ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS e
+       FROM ps JOIN qq USING (sid, shard))
+SELECT doc_id, size, tg.s AS source_size, target,
+       CAST(CASE WHEN words > 0 THEN ask // words * size ELSE 0 END
+            + greatest(0, least(start + rest, words, e) - greatest(start, e - size))
+            + greatest(0, least(start + rest - words, e) - greatest(0, e - size)) AS BIGINT) AS taken
+FROM st JOIN tg USING (sid)""",
     "op2_near_duplicates": rf"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS r, doc_id,
