@@ -79,7 +79,7 @@ def item_windows(items: DataFrame, window: int, id_col: str = "item_id", text_co
     """``item string, words binary``: the distinct windows of each item, as 64-bit word hashes."""
 
     def cut(batches):
-        for batch in batches:
+        for batch in w.small_batches(batches, "text"):
             hashes, at = w.word_hashes(batch.column(1), w.ALPHANUMERIC)
             names, found = [], []
             for k, name in enumerate(batch.column(0).to_pylist()):
@@ -98,7 +98,7 @@ def _shingle_counts(docs: DataFrame, text_col: str, wanted: dict[int, np.ndarray
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches):
-        for batch in batches:
+        for batch in w.small_batches(batches, text_col):
             hashes, at = w.word_hashes(batch.column(0), w.ALPHANUMERIC)
             for size, keys in shared.value.items():
                 found = w.shingles(hashes, size)
@@ -176,7 +176,7 @@ def _matcher(docs: DataFrame, index: tuple[list[str], list[WindowIndex]], text_c
 
     def match(batches):
         items, tables = shared.value
-        for batch in batches:
+        for batch in w.small_batches(batches, text_col):
             texts = batch.column(batch.schema.get_field_index(text_col))
             hashes, at = w.word_hashes(texts, w.ALPHANUMERIC)
             change, pairs = np.zeros(len(hashes) + 1, np.int64), []

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.llm.tables import distinct_name, materialize
+from caseflow.llm.words import small_batches
 
 DIM = 1024
 GRAM = 3
@@ -160,7 +161,7 @@ class LanguageModel:
         def tell(batches):
             languages, prototypes, norms, dim, gram = shared.value
             vectors = Vectors(dim, gram)
-            for batch in batches:
+            for batch in small_batches(batches, text_col):
                 best = [UNKNOWN] * batch.num_rows
                 score = np.zeros(batch.num_rows)
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
@@ -185,7 +186,7 @@ def fit(
 
     def bundle(batches):
         vectors, totals = Vectors(dim, gram), {}
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for first, found, lettered in _vectors_of(batch.column(1).to_pylist(), vectors):
                 for lang in set(langs[first : first + len(found)][lettered]):
