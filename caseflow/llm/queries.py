@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate, language, mixing, neardup, packing, toxicity
+from caseflow.llm import decontaminate, language, mixing, neardup, neighbours, packing, toxicity
 from caseflow.llm.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -21,6 +21,10 @@ def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, pad_id=END_OF_TEXT)
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.report(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language": op3_language,
     "op6_token_packing": op6_token_packing,
+    "op7_neighbours": op7_neighbours,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
 }
