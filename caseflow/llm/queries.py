@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate, language, mixing, neardup, neighbours, packing, toxicity
+from caseflow.llm import decontaminate, language, licenses, mixing, neardup, neighbours, packing, toxicity
 from caseflow.llm.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -17,6 +17,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, pad_id=END_OF_TEXT)
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language": op3_language,
+    "op4_licenses": op4_licenses,
     "op6_token_packing": op6_token_packing,
     "op7_neighbours": op7_neighbours,
     "op8_toxicity": op8_toxicity,
@@ -122,6 +127,26 @@ comp AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT doc_id, CAST(named.n AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id,
        doc_id = coalesce(c, doc_id) AS kept
 FROM named LEFT JOIN node ON named.name = node.name AND named.n = node.n LEFT JOIN comp USING (id)""",
+    "op4_licenses": rf"""
+WITH t(n, label, words) AS (VALUES {", ".join(f"({n}, '{label}', list_distinct(string_split('{words}', ' ')))" for n, (label, words) in enumerate(licenses.TEMPLATES))}),
+tw AS (SELECT n, label, len(words) AS size, unnest(words) AS w FROM t),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {SQL_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+bw AS (SELECT r, b, unnest(list_distinct(regexp_extract_all(lower(lines[b]), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))) AS w
+       FROM (SELECT r, lines, unnest(range(1, len(lines) + 1)) AS b FROM (SELECT r, string_split(text, chr(10)) AS lines FROM d))),
+m AS (SELECT r, label, count(*) / size AS c FROM bw JOIN tw USING (w) GROUP BY r, b, n, label, size HAVING count(*) >= ceil(80 * size / 100)),
+p AS (SELECT r, 'mit' AS label, unnest(range(1, len(ws))) AS i, 2 AS n FROM d WHERE len(ws) > 1 UNION ALL
+      SELECT r, 'apache', unnest(range(1, len(ws))), 2 FROM d WHERE len(ws) > 1 UNION ALL
+      SELECT r, 'gpl', unnest(range(1, len(ws) - 1)), 3 FROM d WHERE len(ws) > 2),
+places AS (SELECT r, p.label, i - 1 AS i FROM p JOIN d USING (r) WHERE array_to_string(ws[i:i + n - 1], ' ') =
+           CASE p.label WHEN 'mit' THEN 'mit license' WHEN 'apache' THEN 'apache license' ELSE 'general public license' END),
+base AS (SELECT r, count(*) AS n, min(i) AS a, max(i) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+al AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels
+       FROM (SELECT r, label FROM places UNION SELECT r, label FROM m) GROUP BY r),
+best AS (SELECT r, max(c) AS c FROM m GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(a AS BIGINT) AS first_word,
+       CAST(z AS BIGINT) AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(al.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN al USING (r) LEFT JOIN best USING (r)""",
     "op9_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
 i AS (SELECT item_id, {SQL_WORDS.format("text")} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
