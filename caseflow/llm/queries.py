@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate, language, licenses, mixing, neardup, neighbours, packing, toxicity
+from caseflow.llm import decontaminate, language, licenses, mixing, neardup, neighbours, packing, secrets, toxicity
 from caseflow.llm.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -21,6 +21,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, pad_id=END_OF_TEXT)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
+    "op5_secrets": op5_secrets,
     "op6_token_packing": op6_token_packing,
     "op7_neighbours": op7_neighbours,
     "op8_toxicity": op8_toxicity,
