@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate, language, licenses, mixing, neardup, neighbours, packing, secrets, toxicity
+from caseflow.llm import decontaminate, language, licenses, mixing, neardup, neighbours, packing, pii, secrets, toxicity
 from caseflow.llm.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -50,6 +50,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_near_duplicates": op2_near_duplicates,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_neighbours": op7_neighbours,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
+    "op10_personal_data": op10_personal_data,
 }
 
 #: Words of a text, A-Z in lower case; DuckDB's lower() would also change other letters.
