@@ -9,10 +9,9 @@ its words. Documents are linked if the Jaccard similarity of their sets is at le
 2. Equal sets are one node, named by their smallest document id.
 3. In each bucket every node is paired with one centre, not with every other node. Pairs are tested first on
    signatures (one byte of each minimum), then on the full sets.
-4. Links give components. Buckets whose nodes all lie in one component are settled. In the others the pairs
-   across components are still open: another centre is drawn as long as that settles enough of them, then
-   the open pairs that are left are tested as they are. No link between different sets is lost to a bucket's
-   size, since pairs are only skipped inside a component.
+4. Links give components. Nodes with a common centre may still be linked across components: where a centre's
+   nodes are not all in one, they meet in tiles of bounded size, and full sets are compared there. A tile gives back
+   a spanning part of its links, not all pairs. So no link between different sets is lost to a bucket's size.
 
 Defined results. Null or wordless texts have an empty set and are linked with nothing. Rows with a null id
 are linked with nothing and are kept. Rows that share an id count as one document when links are followed.
@@ -25,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseflow.llm import words as w
@@ -37,6 +36,8 @@ MISS = 1e-6
 #: Standard deviations by which a signature may fall short of the threshold before its pair is dropped.
 SLACK = 6.0
 PART = 4096
+TILE = 256
+TILE_BYTES = 1 << 24
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -83,7 +84,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
     def sign(batches):
         odd = _functions(bands * rows)[2].reshape(bands, rows)
-        for batch in batches:
+        for batch in w.small_batches(batches, "text"):
             sets = shingle_sets(batch.column(2), size)
             names = [set_name(s) for s in sets]
             keys, signature = [], []
@@ -123,12 +124,11 @@ def _similar_signatures(pairs: DataFrame, nodes: DataFrame, percent: int, n: int
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(near, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``node, shingles``: the full sets of the wanted nodes, as sorted hashes."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in w.small_batches(batches, "text"):
             found = shingle_sets(batch.column(1), size)
             names = [set_name(s) for s in found]
             yield pa.RecordBatch.from_arrays(
@@ -139,13 +139,14 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, p
                 ["node", "set_a", "set_b", "shingles"],
             )
 
-    texts = likely_rows(docs.select("doc_id", "text"), "doc_id", ends.withColumnRenamed("node", "doc_id"))
-    wanted = nodes.join(ends, "node", "left_semi").select("node", "set_a", "set_b")
-    whole = materialize(
-        texts.mapInArrow(sets, "node long, set_a long, set_b long, shingles binary").join(wanted, ["node", "set_a", "set_b"], "left_semi")
-        .dropDuplicates(["node"]).select("node", "shingles"),
-        "sets",
-    )
+    texts = likely_rows(docs.select("doc_id", "text"), "doc_id", wanted.withColumnRenamed("node", "doc_id"))
+    named = nodes.join(wanted, "node", "left_semi").select("node", "set_a", "set_b")
+    found = texts.mapInArrow(sets, "node long, set_a long, set_b long, shingles binary")
+    return found.join(named, ["node", "set_a", "set_b"], "left_semi").dropDuplicates(["node"]).select("node", "shingles")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
 
     def similar(batches):
         for batch in batches:
@@ -161,31 +162,76 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, p
                 linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    left = whole.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = whole.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(similar, "a long, b long")
 
 
-def _centre_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Each open member of a bucket with the bucket's centre, which a seeded order of nodes picks."""
-    order = F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), F.col("node").alias("centre"), F.col("comp").alias("centre_comp"))
-    centres = materialize(members.groupBy("key").agg(F.min(order).alias("c")).select("key", "c.centre", "c.centre_comp"), "centres")
-    met = members.join(centres, "key").where("comp <> centre_comp")
-    return met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-
-
-def _open_members(members: DataFrame, comps: DataFrame | None) -> tuple[DataFrame, int, int]:
-    """Members of buckets that hold several components; how many pairs across them there are, and how many members."""
-    if comps is not None:
-        found = comps.select("node", F.col("component").alias("_c"))
-        members = members.drop("comp").join(found, "node", "left").select("key", "node", F.coalesce("_c", "node").alias("comp"))
-    members = materialize(members, "members")
-    sizes = members.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"), F.count("*").alias("comps")
-    )
-    unsettled = materialize(sizes.where("comps > 1"), "buckets")
-    row = unsettled.agg(F.sum(F.col("n") * F.col("n") - F.col("n2")), F.sum("n")).first()
-    return materialize(members.join(unsettled.select("key"), "key", "left_semi"), "members"), int(row[0] or 0) // 2, int(row[1] or 0)
+def _circles(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``centre, node``: with each bucket's centre, the nodes that meet in its buckets.
+
+    A bucket's centre is its most central node, the one whose buckets hold most nodes in all. Copies of one
+    text thus have the same centre in nearly all of their buckets, and one that most of them are close to.
+    """
+    degree = members.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("degree"))
+    order = F.struct((-F.col("degree")).alias("d"), F.xxhash64("node").alias("h"), F.col("node").alias("centre"))
+    centres = members.join(materialize(degree, "degrees"), "node").groupBy("key").agg(F.min(order)["centre"].alias("centre"))
+    return members.join(materialize(centres, "centres"), "key").select("centre", "node").distinct()
+
+
+def _linked_inside(tile: pa.Table, percent: int) -> pa.Table:
+    """``a, b``: links that join the linked nodes of a tile, the smallest node of each part with the others."""
+    order = np.argsort(tile.column("node").to_numpy(), kind="stable")
+    nodes, comps = tile.column("node").to_numpy()[order], tile.column("comp").to_numpy()[order]
+    if len(np.unique(comps)) < 2:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    column = tile.column("shingles").combine_chunks()
+    sets = [np.frombuffer(column[int(k)].as_buffer(), w.U64) for k in order]
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    kinds, place = np.unique(flat, return_inverse=True)
+    by_kind = np.argsort(place, kind="stable")
+    place, owner, shared = place[by_kind], owner[by_kind], np.zeros((len(sets), len(sets)))
+    for low in range(0, len(kinds), PART):
+        first, last = np.searchsorted(place, [low, low + PART])
+        held = np.zeros((len(sets), min(PART, len(kinds) - low)), np.float32)
+        held[owner[first:last], place[first:last] - low] = 1
+        shared += held @ held.T
+    linked = (100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)) | (comps[:, None] == comps[None, :])
+    least = np.arange(len(nodes))
+    while True:  # smallest reachable place
+        lower = np.where(linked, least[None, :], len(nodes)).min(axis=1)
+        lower = np.minimum(lower, lower[lower])
+        if (lower == least).all():
+            break
+        least = lower
+    apart = comps[least] != comps
+    return pa.table({"a": nodes[least][apart], "b": nodes[apart]})
+
+
+def _open_links(circles: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links across components between nodes of a circle; None if no circle has several components.
+
+    A circle's nodes are dealt to tiles of about TILE nodes and TILE_BYTES of sets, and each two tiles meet in one
+    task, which compares the full sets and gives back a spanning part of the links. Every pair of nodes with a
+    common bucket is compared, unless both are in one component already.
+    """
+    labelled = circles.join(comps, "node", "left").select("centre", "node", F.coalesce("component", "node").alias("comp"))
+    labelled = materialize(labelled.join(nodes.select("node", "n_shingles"), "node"), "circles")
+    seen = Observation()
+    spread = labelled.groupBy("centre").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"), F.sum("n_shingles").alias("s")
+    ).where("low <> high")
+    tiles = F.ceil(F.greatest(F.col("n") / TILE, F.col("s") * 8 / TILE_BYTES)).cast("int")
+    spread = materialize(spread.select("centre", tiles.alias("tiles")).observe(seen, F.count("*").alias("n")), "open")
+    if not seen.get["n"]:
+        return None
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    placed = labelled.join(spread, "centre").withColumn("own", own)
+    both = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "own").alias("i"), F.greatest(t, "own").alias("j")))
+    met = placed.select("centre", "node", "comp", F.explode(both).alias("t")).select("centre", "node", "comp", "t.i", "t.j")
+    whole = met.join(sets, "node")
+    return whole.groupBy("centre", "i", "j").applyInArrow(lambda tile: _linked_inside(tile, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = ROWS, miss: float = MISS) -> DataFrame:
@@ -201,33 +247,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rows: int
         "nodes",
     )
     spread = nodes.select("node", F.explode("keys").alias("key"))
-    shared = materialize(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys")
-    members = spread.join(shared, "key", "left_semi").select("key", "node", F.col("node").alias("comp"))
-    links, tested, comps, seed, left = None, None, None, 0, None
-    while True:
-        members, pairs_left, rows_left = _open_members(members, comps)
-        if not pairs_left:
-            break
-        last = left is not None and (pairs_left <= 4 * rows_left or pairs_left > 0.7 * left)
-        if last:
-            other = members.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = members.withColumnRenamed("node", "a").join(other, "key").where("a < b AND comp <> comp_b").select("a", "b").distinct()
-        else:
-            pairs = _centre_pairs(members, seed)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        near = materialize(_similar_signatures(pairs, nodes, percent, bands * rows), "near")
-        found = materialize(_confirmed(near, nodes, docs, size, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        comps = materialize(connected_components(links), "components")
-        left, seed = pairs_left, seed + 1
-        if last:
-            break
-    labels = groups.withColumn("component_id", F.col("node"))
-    if comps is not None:
-        labels = groups.join(comps, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
+    shared = materialize(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    members = materialize(spread.join(shared.select("key"), "key", "left_semi"), "members")
+    circles = materialize(_circles(members, shared), "circles")
+    sets = materialize(_sets(docs, nodes, circles.select("node").distinct(), size), "sets")
+    pairs = circles.where("centre <> node").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    near = materialize(_similar_signatures(pairs, nodes, percent, bands * rows), "near")
+    links = materialize(_confirmed(near, sets, percent), "links")
+    comps = connected_components(links)
+    more = _open_links(circles, comps, nodes, sets, percent)
+    if more is not None:
+        comps = connected_components(links.unionByName(more))
+    labels = groups.join(comps, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
     result = signed.select("doc_id", "text_key", *name).join(labels.select(*name, "component_id"), name, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return result.select("doc_id", "text_key", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
