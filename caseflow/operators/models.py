@@ -17,10 +17,10 @@ from caseflow.operators import features as fx
 from caseflow.operators.ranks import hashed_position
 from caseflow.session import materialize
 
-# Stop when the loss settles to this share; it matches common solver settings.
-TOLERANCE = 5e-4
-NEWTON_STEPS = 40
-ROWS_PER_TASK = 1_000
+# Stop when the loss changes by less than this share; tighter values changed no label.
+TOLERANCE = 1e-6
+# Newton steps with halving end long before this; beyond it something is wrong.
+NEWTON_ERROR = 1_000
 
 # Thresholds of the classifier's own confidence flag.
 MIN_CONFIDENCE = 0.55
@@ -40,9 +40,16 @@ def _label_name(index: Column, labels: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in labels]), (index + 1).cast("int"))
 
 
-def _spread(rows: DataFrame, n: int) -> DataFrame:
-    """Training rows over as many tasks as they can keep busy in a solver step."""
-    return rows.repartition(max(1, -(-n // ROWS_PER_TASK)))
+def _spread(rows: DataFrame) -> DataFrame:
+    """Training rows over the cluster's cores, since each solver step is one short task a partition."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def _converged(model: LogisticRegressionModel, max_iter: int) -> LogisticRegressionModel:
+    """The model; an error if the solver ran out of iterations."""
+    if model.summary.totalIterations >= max_iter:
+        raise RuntimeError(f"no convergence in {max_iter} iterations; raise max_iter")
+    return model
 
 
 def _shares(values: Column, total: Column, even: Column) -> Column:
@@ -76,7 +83,7 @@ class TfidfLogisticBaseline:
 
     stop_words: tuple[str, ...] | None = None
     c: float = 1.0
-    max_iter: int = 500
+    max_iter: int = 2000
 
     def fit(self, train: DataFrame, row_id: str, text: str, label: str) -> "TfidfLogisticBaseline":
         stop = self.stop_words if self.stop_words is not None else fx.english_stop_words()
@@ -92,10 +99,10 @@ class TfidfLogisticBaseline:
         )
         rows = materialize(rows.select("label", "features"), "baseline-features")
         n = rows.count()
-        self.model = LogisticRegression(
+        self.model = _converged(LogisticRegression(
             family="multinomial", regParam=1.0 / (self.c * n), elasticNetParam=0.0,
             standardization=False, maxIter=self.max_iter, tol=TOLERANCE,
-        ).fit(_spread(rows, n))
+        ).fit(_spread(rows)), self.max_iter)
         return self
 
     def transform(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
@@ -119,7 +126,7 @@ class IntentClassifier:
 
     c: float = 2.5
     folds: int = 5
-    max_iter: int = 1000
+    max_iter: int = 5000
     seed: int = 42
     word_spec: fx.TermSpec = fx.CLASSIFIER_WORDS
     char_spec: fx.TermSpec = fx.CLASSIFIER_CHARS
@@ -148,7 +155,7 @@ class IntentClassifier:
         stored = materialize(folded.select("y", "fold", "features"), "features")
         rows = stored.select(F.col("y").alias("y", metadata=classes), "fold", "features")
         # the rows are read once per solver step, so they are held on the executors
-        rows = _spread(rows, stored.count()).persist()
+        rows = _spread(rows).persist()
         try:
             with ThreadPoolExecutor(self.folds) as pool:
                 fitted = list(pool.map(lambda f: self._fit_fold(rows, f, len(labels)), range(self.folds)))
@@ -163,10 +170,10 @@ class IntentClassifier:
         n = sum(sizes.values())
         table = F.create_map(*[F.lit(x) for y, m in sizes.items() for x in (y, n / (len(sizes) * m))])
         weighted = part.withColumn("weight", F.element_at(table, F.col("y")))
-        return LogisticRegression(
+        return _converged(LogisticRegression(
             labelCol="y", weightCol="weight", family="multinomial", regParam=1.0 / (self.c * n),
             elasticNetParam=0.0, standardization=False, maxIter=self.max_iter, tol=TOLERANCE,
-        ).fit(weighted)
+        ).fit(weighted), self.max_iter)
 
     def _fit_sigmoids(
         self, rows: DataFrame, fitted: list[LogisticRegressionModel], k: int
@@ -203,7 +210,11 @@ class IntentClassifier:
 
     def _newton(self, points: DataFrame, pick, at: list[tuple[float, float]], k: int) -> list[list[tuple[float, float]]]:
         kept, loss = list(at), [math.inf] * len(at)
-        for _ in range(NEWTON_STEPS):
+        moved, steps = math.inf, 0
+        while moved >= 1e-5:
+            if steps == NEWTON_ERROR:
+                raise RuntimeError("the calibration does not converge")
+            steps += 1
             z = pick([a for a, _ in at]) * F.col("margin") + pick([b for _, b in at])
             p, m = 1.0 / (1.0 + F.exp(-z)), F.col("margin")
             bend = p * (1 - p)
@@ -225,8 +236,6 @@ class IntentClassifier:
                 da, db = (hbb * r["ga"] - r["hab"] * r["gb"]) / det, (haa * r["gb"] - r["hab"] * r["ga"]) / det
                 at[s] = (kept[s][0] - da, kept[s][1] - db)
                 moved = max(moved, abs(da), abs(db))
-            if moved < 1e-5:
-                break
         return [kept[f:f + k] for f in range(0, len(kept), k)]
 
 

@@ -69,11 +69,15 @@ def hashed_position(
         .select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     )
     within = W.partitionBy(*keys, "_slice").orderBy("_h", row_id)
+    # keys may be null: a null key is a group of its own and must find its shift
+    shift = shift.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.col("_slice").alias("_s"), "_shift")
+    same = F.col("_slice") == F.col("_s")
+    for n, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{n}"))
     return (
-        hashed.withColumn("_rn", F.row_number().over(within))
-        .join(shift, [*keys, "_slice"])
+        hashed.withColumn("_rn", F.row_number().over(within)).join(shift, same)
         .withColumn(output, F.col("_rn") + F.col("_shift"))
-        .drop("_h", "_slice", "_rn", "_shift")
+        .drop("_h", "_slice", "_rn", "_shift", "_s", *[f"_k{n}" for n in range(len(keys))])
     )
 
 

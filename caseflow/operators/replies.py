@@ -39,7 +39,7 @@ def decide(
     """
     flags = gate_flags(F.col(text), F.col(known_non_english) if known_non_english else None)
     sure, gap, score, label = F.col(confidence), F.col(margin), F.col(top_score), F.col(intent)
-    two = lambda c: F.format_string("%.2f", c.cast("double"))
+    two = lambda c: F.format_number(c.cast("double"), 2)
     low_sure = sure < min_confidence
     checks: list[tuple[Column, str, Column]] = [
         (flags["unsupported_language"], "UNSUPPORTED_LANGUAGE",
@@ -108,7 +108,7 @@ def evidence_text(evidence: Column) -> Column:
     """Ranked cases as a block of text for a model outside this system."""
     lines = F.transform(evidence, lambda e, i: F.concat(
         F.lit("Case #"), (i + 1).cast("string"), F.lit(" (ID: "), e["case_id"], F.lit(", Similarity: "),
-        F.format_string("%.2f", e["similarity_score"]), F.lit(", Intent: "), e["intent"], F.lit('):\n  Customer asked: "'),
+        F.format_number(e["similarity_score"].cast("double"), 2), F.lit(", Intent: "), e["intent"], F.lit('):\n  Customer asked: "'),
         e["historical_customer_text"], F.lit('"\n  Brand resolution: "'), e["historical_agent_reply"], F.lit('"'),
     ))
     return F.when(F.size(evidence) > 0, F.array_join(lines, "\n\n")).otherwise("No historical evidence available.")
@@ -120,7 +120,7 @@ def evidence_prompt(
     """Adds ``prompt``: message, intent and cases."""
     return df.withColumn("prompt", F.concat(
         F.lit('CUSTOMER MESSAGE:\n"'), F.col(text), F.lit('"\n\nPREDICTED INTENT:\n'), F.col(intent),
-        F.lit(" (Confidence: "), F.format_string("%.2f", F.col(confidence)),
+        F.lit(" (Confidence: "), F.format_number(F.col(confidence).cast("double"), 2),
         F.lit(")\n\nRETRIEVED HISTORICAL EVIDENCE:\n"), evidence_text(F.col(evidence)),
         F.lit("\n\nDraft a concise, evidence-grounded Twitter support reply following the guidelines.\n"),
     ))

@@ -12,6 +12,7 @@ from caseflow.functions.rules import RulePack, Taxonomy
 from caseflow.operators.conversations import TRAIN_SPLIT, component_sizes, first_inbound
 from caseflow.operators.ranks import hashed_position, top_n
 from caseflow.operators.tagging import tag
+from caseflow.session import materialize
 
 SEED = 42
 OUT_SPLIT = "out_of_scope_non_english"
@@ -78,23 +79,23 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``split``. Ranks come from hash slices, so a stratum of any size stays even.
 
-    The quota table has one row per stratum (rule tags), hence the broadcast.
+    A null stratum is a stratum of its own. The quota table has one row per stratum; it is written, so
+    that Spark knows its size and broadcasts it only if that is small.
     """
     strata = df.groupBy(F.col(stratum).alias("stratum")).agg(F.count("*").alias("n"))
-    quotas = split_quotas(strata, held_out, test_share).select(
-        F.col("stratum").alias(stratum), "train", "validation"
-    )
+    quotas = materialize(split_quotas(strata, held_out, test_share).select("stratum", "train", "validation"), "quotas")
+    quotas = quotas.withColumnRenamed("stratum", "_stratum")
     ranked = hashed_position(df, [stratum], row_id, seed, "_rank")
     train, validation, test = names
     return (
-        ranked.join(F.broadcast(quotas), stratum)
+        ranked.join(quotas, F.col(stratum).eqNullSafe(F.col("_stratum")))
         .withColumn(
             "split",
             F.when(F.col("_rank") <= F.col("train"), train)
             .when(F.col("_rank") <= F.col("train") + F.col("validation"), validation)
             .otherwise(test),
         )
-        .drop("_rank", "train", "validation")
+        .drop("_rank", "train", "validation", "_stratum")
     )
 
 

@@ -38,7 +38,7 @@ def scored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("difficulty", F.element_at(F.array(*[F.lit(x) for x in packs.DIFFICULTIES]), (tid % 3 + 1).cast("int")))
     )
     piece = F.concat(
-        F.lit("@cust "), F.substring(F.coalesce("reply", F.lit("")), F.lit(1), (tid * 31 % 400).cast("int")),
+        F.lit("@cust "), F.when(tid % 3 == 0, F.concat(F.lit("ok "), tid.cast("string"))).otherwise(F.coalesce("reply", F.lit(""))),
         F.when(tid % 5 == 0, " We have refunded you, please check. ^AB").otherwise(" -XY"),
     )
     case = F.struct(
@@ -96,7 +96,7 @@ def _q(text: str) -> str:
 
 
 def _two(col: str) -> str:
-    return f"printf('%.2f', round({col} + 1e-9, 2))"
+    return f"printf('%.2f', {col})"
 
 
 def _any(col: str, needles: list[str]) -> str:
@@ -143,7 +143,7 @@ s0 AS (
   FROM msg m LEFT JOIN first_out o USING (component_id) WHERE m.inbound),
 s1 AS (
   SELECT *, CASE WHEN tweet_id % 4 = 0 THEN {_list}[list_position({_list}, intent) % {len(_names)} + 1] ELSE intent END AS human_intent,
-         '@cust ' || substring(coalesce(reply, ''), 1, tweet_id * 31 % 400)
+         '@cust ' || CASE WHEN tweet_id % 3 = 0 THEN 'ok ' || tweet_id ELSE coalesce(reply, '') END
            || CASE WHEN tweet_id % 5 = 0 THEN ' We have refunded you, please check. ^AB' ELSE ' -XY' END AS piece FROM s0),
 s2 AS (SELECT *, {_codes} AS codes, {_reasons} AS why, {_scrubbed} AS scrubbed FROM s1),
 s3 AS (

@@ -25,8 +25,8 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = standin.table(spark, sf_dir, "pages")
     return pages.select(
-        "page_id", t.clean(F.concat_ws(" ", F.lit("see"), "url", F.lit("now"))).alias("cleaned"),
-        t.normalize_for_topics(F.concat_ws(" ", F.lit("@Agent"), "url")).alias("normal"),
+        "page_id", F.md5(t.clean(F.concat_ws(" ", F.lit("see"), "url", "html"))).alias("cleaned_md5"),
+        F.md5(t.normalize_for_topics(F.concat_ws(" ", F.lit("@Agent"), "url", "html"))).alias("normal_md5"),
     )
 
 
@@ -156,8 +156,8 @@ _tag_again = "CASE " + _label + " " + " ".join(
 
 ORACLES = {
     "clean_text": f"SELECT doc_id, md5({base.sql_clean('text')}) AS cleaned_md5 FROM documents",
-    "clean_pages": rf"""SELECT page_id, {base.sql_clean("'see ' || url || ' now'")} AS cleaned,
-        {base.sql_normal("'@Agent ' || url", " ")} AS normal FROM pages""",
+    "clean_pages": rf"""SELECT page_id, md5({base.sql_clean("concat_ws(' ', 'see', url, html)")}) AS cleaned_md5,
+        md5({base.sql_normal("concat_ws(' ', '@Agent', url, html)", " ")}) AS normal_md5 FROM pages""",
     "normalize_text": rf"""WITH {base.MSG} SELECT tweet_id, md5({base.sql_normal("text")}) AS norm_md5,
         md5({base.sql_normal("text", " ")}) AS topic_md5,
         len(list_filter(string_split({base.sql_normal("text", " ")}, ' '), lambda w: w <> '')) AS words FROM raw""",

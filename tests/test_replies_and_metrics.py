@@ -111,3 +111,8 @@ def test_constant_scores_and_missing_labels(spark):
     df = spark.createDataFrame([("a", "b"), ("a", "a")], "y string, p string")
     report = {r.label: tuple(r)[1:] for r in metrics.per_class_report(df, "y", "p", ["a", "b", "c"]).collect()}
     assert report == {"a": (1.0, 0.5, 0.6667, 2), "b": (0.0, 0.0, 0.0, 0), "c": (0.0, 0.0, 0.0, 0)}
+
+
+def test_two_decimals_follow_the_binary_value(spark):
+    row = spark.range(1).select(*[F.format_number(F.lit(x), 2).alias(f"c{n}") for n, x in enumerate((0.285, 0.125, 0.515))]).first()
+    assert list(row) == ["%.2f" % x for x in (0.285, 0.125, 0.515)]

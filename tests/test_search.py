@@ -92,7 +92,7 @@ def test_matches_brute_force(spark, index):
 
 def test_batches_and_blocks_change_nothing(spark, index, monkeypatch):
     whole = search(spark, index)
-    assert search(spark, index, batch_queries=2) == whole
+    assert search(spark, index, block_queries=2, block_cases=2) == whole
     monkeypatch.setattr(retrieval, "BLOCK_SCORES", 7)
     monkeypatch.setattr(retrieval, "BLOCK_PRODUCTS", 11)
     assert search(spark, index) == whole

@@ -63,3 +63,9 @@ def test_leakage(spark):
     assert got == {"a": 1, "b": 0}
     twice = spark.createDataFrame([(1, "x", False, "test"), (1, "x", False, "validation"), (2, "x", False, "test")], schemas.ASSIGNMENT)
     assert [r.component_id for r in splits.split_violations(twice).collect()] == [1]
+
+
+def test_null_stratum_keeps_its_rows(spark):
+    rows = spark.createDataFrame([(k, None if k % 4 == 0 else "a") for k in range(20)], "id int, s string")
+    found = splits.stratified_split(rows, "id", "s").groupBy("s").count().collect()
+    assert {r["s"]: r["count"] for r in found} == {None: 5, "a": 15}
