@@ -7,8 +7,9 @@ base span. DataFrame functions only.
 
 Both models are trained from labelled samples: random are the values that base patterns found in all documents, and
 ``generated`` strings from a seeded hash in hexadecimal, base-64 and upper-case forms (so that a corpus without secrets
-has a model too); ordinary are all candidates of all documents that overlap no base span. Counts are grouped sums; a model
-is a table of at most 80 x 80 numbers.
+has a model too); ordinary are all candidates of all documents that overlap no base span. Each different string counts once,
+so that a secret does not pass for ordinary by being copied. Since every candidate is in the ordinary sample, its own
+counts are left out when it is scored. Counts are grouped sums; a model is a table of at most 80 x 80 numbers.
 
 Defined results. A null text is empty. Equal rows have equal results. Without ordinary candidates their model is uniform.
 Places are code points, ends exclusive.
@@ -55,9 +56,9 @@ def base_spans() -> Column:
 
 
 def _pairs(strings: DataFrame, random: bool) -> DataFrame:
-    """``random, a, b, n``: counts of neighbouring characters in a column ``s``; the first one follows code LOW - 1."""
+    """``random, a, b, n``: counts of neighbouring characters in the distinct ``s``; the first one follows code LOW - 1."""
     codes = F.filter(F.transform(F.split("s", ""), lambda c: F.ascii(c)), lambda c: c.between(LOW, HIGH))
-    chars = strings.select(codes.alias("c"))
+    chars = strings.distinct().select(codes.alias("c"))
     both = F.arrays_zip(F.concat(F.array(F.lit(LOW - 1)), F.slice("c", F.lit(1), F.size("c") - 1)).alias("a"), F.col("c").alias("b"))
     pairs = chars.where(F.size("c") > 0).select(F.explode(both).alias("p"))
     return pairs.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n")).withColumn("random", F.lit(random))
@@ -86,7 +87,9 @@ def fit(found: DataFrame, generated: int = GENERATED, smoothing: float = SMOOTHI
             sums[flag][a] = sums[flag].get(a, 0) + n
 
     def log_p(flag: bool, a: int, b: int) -> float:
-        return math.log((counts[flag].get((a, b), 0) + smoothing) / (sums[flag].get(a, 0) + smoothing * WIDTH))
+        own = 0 if flag else 1
+        n, total = counts[flag].get((a, b), 0), sums[flag].get(a, 0)
+        return math.log((max(0, n - own) + smoothing) / (max(0, total - own) + smoothing * WIDTH))
 
     return [log_p(True, a, b) - log_p(False, a, b) for a in range(LOW - 1, HIGH + 1) for b in range(LOW, HIGH + 1)]
 
