@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from caseflow.llm.tables import materialize
+from caseflow.llm.tables import distinct_name, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -105,7 +105,7 @@ def mixture(
 ) -> DataFrame:
     """``keep`` columns of the documents (all by default) and how much of each the mix takes.
 
-    Added in ``_mix``: size, source_size, target, copies (whole texts), and the words from_1 to to_1 and from_2 to to_2
+    Added last, in ``_mix`` (renamed if the name is taken): size, source_size, target, copies (whole texts), and the words from_1 to to_1 and from_2 to to_2
     (ends exclusive) that are taken once more.
     """
     keep = list(docs.columns) if keep is None else keep
@@ -151,13 +151,13 @@ def mixture(
         F.struct(
             "size", "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies"),
             *overlap(F.col("start"), F.least(turn, F.col("words")), "1"), *overlap(F.lit(0), turn - F.col("words"), "2"),
-        ).alias("_mix"),
+        ).alias(distinct_name(keep, "_mix")),
     )
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for each document row."""
-    m = mixture(docs, keep=["doc_id"], **options)
+    m = mixture(docs, keep=["doc_id"], **options)  # its second column is _mix
     once = F.col("_mix.to_1") - F.col("_mix.from_1") + F.col("_mix.to_2") - F.col("_mix.from_2")
     return m.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.copies") * F.col("_mix.size") + once).cast("long").alias("taken"))
 
@@ -168,15 +168,16 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     Where there is a column ``n_chars``, it follows the text.
     """
     m, text = mixture(docs, **options), F.col("text")
+    name, taken = m.columns[-1], distinct_name(m.columns, "_taken")
     words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
 
     def part(k: int) -> Column:
-        low, high = F.col(f"_mix.from_{k}"), F.col(f"_mix.to_{k}")
+        low, high = F.col(f"{name}.from_{k}"), F.col(f"{name}.to_{k}")
         cut = F.array_join(F.slice(words, (low + 1).cast("int"), (high - low).cast("int")), "")
-        return F.when(high - low == F.col("_mix.size"), text).when(high > low, cut)
+        return F.when(high - low == F.col(f"{name}.size"), text).when(high > low, cut)
 
-    texts = F.concat(F.array_repeat(text, F.col("_mix.copies")), F.array_compact(F.array(part(1), part(2))))
-    rows = m.where("_mix.size > 0").withColumn("_taken", F.explode(texts)).withColumn("text", F.col("_taken"))
+    texts = F.concat(F.array_repeat(text, F.col(f"{name}.copies")), F.array_compact(F.array(part(1), part(2))))
+    rows = m.where(F.col(f"{name}.size") > 0).withColumn(taken, F.explode(texts)).withColumn("text", F.col(taken))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

@@ -58,8 +58,8 @@ def without_rows(df: DataFrame, id_col: str, text_col: str, unwanted: DataFrame)
     rows that may be listed are shuffled.
     """
     unwanted = materialize(unwanted, "unwanted")
-    marked = _marked(df, id_col, unwanted.withColumnRenamed("id", id_col))
-    listed = marked.where("_mark").drop("_mark").withColumn("_key", text_key(F.col(text_col))).dropDuplicates([id_col, "_key"])
-    gone = unwanted.where("NOT again").select(F.col("id").alias("_id"), F.col("key").alias("_gone")).distinct()
-    left = listed.join(gone, (F.col(id_col) == F.col("_id")) & (F.col("_key") == F.col("_gone")), "left_anti").select(*df.columns)
-    return marked.where("NOT _mark").select(*df.columns).unionByName(left)
+    rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"))
+    marked = _marked(rows, "id", unwanted)
+    listed = marked.where("_mark").drop("_mark").dropDuplicates(["id", "key"])
+    left = listed.join(unwanted.where("NOT again").select("id", "key").distinct(), ["id", "key"], "left_anti")
+    return marked.where("NOT _mark").select("row.*").unionByName(left.select("row.*"))
