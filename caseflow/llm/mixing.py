@@ -53,7 +53,7 @@ def positions(df: DataFrame, order: list[Column], output: str) -> DataFrame:
 
 
 def apportion(df: DataFrame, group: list[str], tie: list[str], weight: str, seats: str, output: str) -> DataFrame:
-    """Sainte-Lague: ``seats`` (equal in a group) given out in proportion to ``weight``; ties to the smaller ``tie``.
+    """Sainte-Lague: ``seats`` (equal in a group) given out in proportion to ``weight``; ties to the smaller ``tie`` (numbers).
 
     Rounded shares are at most half a seat a row away from the total. Which seats to add or take back follows from
     the quotients beside each row's rounded share; as many of them are listed as could be needed.
@@ -69,7 +69,9 @@ def apportion(df: DataFrame, group: list[str], tie: list[str], weight: str, seat
     odd = F.when(F.col("_open") > 0, 2 * F.col("_base") + 2 * F.col("_k") - 1).otherwise(2 * F.col("_base") - 2 * F.col("_k") + 1)
     quotient = F.col(weight) / odd
     listed = listed.withColumn("_q", F.when(F.col("_open") > 0, -quotient).otherwise(quotient))
-    ranked = positions(listed.select(*group, *tie, "_open", "_q", "_k"), [*[F.col(c) for c in group], F.col("_q"), *[F.col(c) for c in tie], F.col("_k")], "_rank")
+    sign = F.signum("_open").cast("long")  # seats are taken back from the larger tie first
+    order = [*[F.col(c) for c in group], F.col("_q"), *[F.col(c) * sign for c in tie], F.col("_k")]
+    ranked = positions(listed.select(*group, *tie, "_open", "_q", "_k"), order, "_rank")
     firsts = materialize(ranked.groupBy(*group).agg(F.min("_rank").alias("_first")), "firsts")
     chosen = ranked.join(firsts, group).where(F.col("_rank") - F.col("_first") < F.abs("_open"))
     change = chosen.groupBy(*group, *tie).agg(F.sum(F.signum("_open")).cast("long").alias("_change"))

@@ -86,7 +86,7 @@ def _sql_apportion(name: str, source: str, group: str, tie: str, weight: str, se
 {name}_c AS (SELECT *, unnest(range(1, CAST(CASE WHEN open_ > 0 THEN n_ + open_ ELSE least(n_ - open_, base) END AS BIGINT) + 1)) AS k
              FROM {name}_b WHERE open_ <> 0),
 {name}_d AS (SELECT {group}, {tie}, sign(open_) AS step, row_number() OVER (PARTITION BY {group} ORDER BY
-               CASE WHEN open_ > 0 THEN -{weight} / (2 * base + 2 * k - 1) ELSE {weight} / (2 * base - 2 * k + 1) END, {tie}, k) AS place, abs(open_) AS most
+               CASE WHEN open_ > 0 THEN -{weight} / (2 * base + 2 * k - 1) ELSE {weight} / (2 * base - 2 * k + 1) END, sign(open_) * {tie}, k) AS place, abs(open_) AS most
              FROM {name}_c),
 {name} AS (SELECT b.*, base + coalesce((SELECT sum(step) FROM {name}_d x WHERE x.{group} = b.{group} AND x.{tie} = b.{tie} AND place <= most), 0) AS got
            FROM {name}_b b)"""
