@@ -13,34 +13,69 @@ from caseflow.session import materialize
 def parent_links(messages: DataFrame, use_responses: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``tweet_id -> parent`` where the parent is a row of the table; else parent is null.
 
-    A message that names no parent may be named in the response list of another one;
-    that one is then its parent (the lowest id if there are several).
+    A message whose named parent is not in the table, or that names none, may be named in the response
+    list of another one; that one is then its parent (the lowest id if there are several).
     """
     links = messages.select("tweet_id", F.col("in_response_to_tweet_id").alias("parent"))
-    if use_responses:
-        named = (
-            messages.where(F.col("response_tweet_id").isNotNull())
-            .select(
-                F.col("tweet_id").alias("by"),
-                F.explode(F.split("response_tweet_id", r"\s*,\s*")).alias("child"),
-            )
-            .select("by", F.expr("try_cast(child AS BIGINT)").alias("tweet_id"))
-            .where("tweet_id IS NOT NULL AND tweet_id <> by")
-            .groupBy("tweet_id").agg(F.min("by").alias("by"))
-        )
-        links = links.join(named, "tweet_id", "left").select(
-            "tweet_id", F.coalesce("parent", "by").alias("parent")
-        )
     known = messages.select(F.col("tweet_id").alias("parent"), F.lit(True).alias("known"))
     # rows without a parent carry no key; they keep out of the join
     linked = skewed_join(links.where("parent IS NOT NULL"), known.distinct(), "parent", "left", hot_rows)
-    return links.where("parent IS NULL").unionByName(
+    found = links.where("parent IS NULL").unionByName(
         linked.select("tweet_id", F.when(F.col("known"), F.col("parent")).alias("parent"))
     )
+    if not use_responses:
+        return found
+    # a list counts where its own message is in the table, which it is by standing there
+    named = response_links(messages).groupBy(F.col("child").alias("tweet_id")).agg(F.min("by").alias("by"))
+    return found.join(named, "tweet_id", "left").select("tweet_id", F.coalesce("parent", "by").alias("parent"))
+
+
+def response_links(messages: DataFrame) -> DataFrame:
+    """``by, child``: which other messages each message lists as its answers."""
+    listed = messages.where(F.col("response_tweet_id").isNotNull()).select(
+        F.col("tweet_id").alias("by"), F.explode(F.split("response_tweet_id", r"\s*,\s*")).alias("child")
+    )
+    return listed.select("by", F.expr("try_cast(child AS BIGINT)").alias("child")).where("child IS NOT NULL AND child <> by")
+
+
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components joined by further links; a joined one takes the lowest of its ids.
+
+    Only links between different components are followed. Each round takes the lowest label beside a
+    component and then that label's own label, so chains shorten by half or more.
+    """
+    own = components.select(F.col("tweet_id").alias("by"), F.col("component_id").alias("a"))
+    other = components.select(F.col("tweet_id").alias("child"), F.col("component_id").alias("b"))
+    across = links.join(own, "by").join(other, "child").where("a <> b").select("a", "b").distinct()
+    edges = materialize(across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "merges")
+    labels = materialize(edges.select("a").distinct().withColumn("label", F.col("a")), "labels")
+    while labels.take(1):
+        beside = edges.join(labels.select(F.col("a").alias("b"), F.col("label").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
+        nearer = labels.join(beside, "a").select("a", "label", F.least("label", "near").alias("low"))
+        jump = labels.select(F.col("a").alias("low"), F.col("label").alias("next"))
+        moved = nearer.join(jump, "low").select("a", F.least("low", "next").alias("label"), (F.least("low", "next") < F.col("label")).alias("moved"))
+        moved = materialize(moved, "labels")
+        labels = moved.select("a", "label")
+        if not moved.where("moved").take(1):
+            break
+    labels = labels.withColumnRenamed("a", "component_id")
+    return components.join(labels, "component_id", "left").select("tweet_id", F.coalesce("label", "component_id").alias("component_id"))
 
 
 def reply_components(messages: DataFrame, use_responses: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``tweet_id, component_id``: the id of the message that starts the thread.
+    """``tweet_id, component_id``: connected components of reply links, named by the message that starts the thread.
+
+    ``use_responses=False`` follows only what each message answers. By default the response lists are links
+    as well, in either direction; threads that they join take the lowest of their ids.
+    """
+    if not use_responses:
+        return _threads(messages, False, hot_rows)
+    threads = materialize(_threads(messages, True, hot_rows), "threads")
+    return _merged(threads, response_links(messages))
+
+
+def _threads(messages: DataFrame, use_responses: bool, hot_rows: int) -> DataFrame:
+    """``tweet_id, component_id`` along one parent link of each message: the id of the message that starts the thread.
 
     Pointer doubling: each round a message skips to its pointer's pointer, so a thread of
     depth d needs log2(d) rounds. Only messages that have not met a root take part, and

@@ -98,3 +98,17 @@ def test_resolution_pairs(spark):
     got = {r.component_id: (r.case_id, r.intent, r.customer_text) for r in
            conv.resolution_pairs(messages, assigned, F.lit("us")).collect()}
     assert got == {1: ("case_1", "Refund Request", "hello there"), 4: ("case_4", "Other / Out of Scope", "12345")}
+
+
+def test_all_reply_links_join(spark):
+    rows = [
+        (1, None, "3"), (3, 98, None),                      # listed, though what it answers is not there
+        (10, None, "12"), (11, None, "12"), (12, None, None),  # listed twice
+        (20, None, "22"), (21, None, None), (22, 21, None),    # listed by one, answers the other
+        (30, None, "31,40"), (31, None, "32"), (32, None, "33, 77"), (33, None, None), (40, None, None), (41, 40, "32"),
+    ]
+    messages = spark.createDataFrame(rows, "tweet_id long, in_response_to_tweet_id long, response_tweet_id string")
+    found = {r["tweet_id"]: r["component_id"] for r in components.reply_components(messages).collect()}
+    assert found == {1: 1, 3: 1, 10: 10, 11: 10, 12: 10, 20: 20, 21: 20, 22: 20, **{k: 30 for k in (30, 31, 32, 33, 40, 41)}}
+    alone = {r["tweet_id"]: r["component_id"] for r in components.reply_components(messages, use_responses=False).collect()}
+    assert alone == {k: {22: 21, 41: 40}.get(k, k) for k, _, _ in rows}
