@@ -8,12 +8,13 @@ sums on the way to the vocabulary.
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +37,18 @@ class TermSpec:
     max_features: int | None = None
 
 
+def save_specs(spark: SparkSession, specs: list["TermSpec"], path: str) -> None:
+    """Settings next to what was fitted with them, as one JSON line for each."""
+    rows = [(n, json.dumps(asdict(spec))) for n, spec in enumerate(specs)]
+    spark.createDataFrame(rows, "n int, spec string").coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_specs(spark: SparkSession, path: str) -> list["TermSpec"]:
+    rows = spark.read.schema("n int, spec string").json(path).orderBy("n").collect()
+    found = [json.loads(r["spec"]) for r in rows]
+    return [TermSpec(**{**x, "stop_words": tuple(x["stop_words"])}) for x in found]
+
+
 def english_stop_words() -> tuple[str, ...]:
     return tuple(StopWordsRemover.loadDefaultStopWords("english"))
 

@@ -304,15 +304,15 @@ class IntentModel:
         PipelineModel(self.fitted).write().overwrite().save(f"{path}/folds")
         for n, vocab in enumerate(self.vocabs):
             vocab.write.mode("overwrite").parquet(f"{path}/vocab{n}")
+        fx.save_specs(spark, self.specs, f"{path}/specs")
         rows = [(f, c, self.labels[c], a, b) for f, s in enumerate(self.sigmoids) for c, (a, b) in enumerate(s)]
         spark.createDataFrame(rows, "fold int, cls int, label string, slope double, shift double").write.mode(
             "overwrite").parquet(f"{path}/sigmoids")
 
     @staticmethod
-    def load(
-        spark: SparkSession, path: str,
-        specs: tuple[fx.TermSpec, ...] = (fx.CLASSIFIER_WORDS, fx.CLASSIFIER_CHARS),
-    ) -> "IntentModel":
+    def load(spark: SparkSession, path: str) -> "IntentModel":
+        """A saved model with the settings it was fitted with."""
+        specs = fx.load_specs(spark, f"{path}/specs")
         fitted = PipelineModel.load(f"{path}/folds").stages
         vocabs = [spark.read.parquet(f"{path}/vocab{n}") for n in range(len(specs))]
         rows = spark.read.parquet(f"{path}/sigmoids").orderBy("fold", "cls").collect()
@@ -320,5 +320,5 @@ class IntentModel:
         sigmoids = [
             [(r["slope"], r["shift"]) for r in rows if r["fold"] == f] for f in range(len(fitted))
         ]
-        return IntentModel(labels, vocabs, list(specs), [v.count() for v in vocabs], fitted, sigmoids)
+        return IntentModel(labels, vocabs, specs, [v.count() for v in vocabs], fitted, sigmoids)
 

@@ -9,7 +9,7 @@ from caseflow.functions import packs
 from caseflow.operators import conversations as conv
 from caseflow.operators import retrieval
 from caseflow.plans.queries import base, terms
-from caseflow.session import materialize
+from caseflow.session import materialize, scratch_path
 
 
 def _setting(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, retrieval.Index]:
@@ -31,6 +31,14 @@ def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shape(retrieval.topk(queries, index, 3))
 
 
+def saved_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search with an index that was saved and loaded."""
+    queries, index = _setting(spark, sf_dir)
+    path = scratch_path(spark, "index")
+    retrieval.save_index(index, path)
+    return _shape(retrieval.topk(queries, retrieval.load_index(spark, path), 3))
+
+
 def conditioned_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries, index = _setting(spark, sf_dir)
     return _shape(retrieval.topk(queries, index, 5, intent="gold"))
@@ -46,7 +54,7 @@ def retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(parts[0].unionByName(parts[1]), "retrieval-metrics")
 
 
-QUERIES = {f.__name__: f for f in (hybrid_topk, conditioned_topk, retrieval_metrics)}
+QUERIES = {f.__name__: f for f in (hybrid_topk, saved_index_topk, conditioned_topk, retrieval_metrics)}
 
 _gold = base.sql_label(base.sql_first_match("text", base.PACK))
 
@@ -104,6 +112,7 @@ def _metrics(best: str, how: str) -> str:
 
 ORACLES = {
     "hybrid_topk": f"WITH {_FOUND}, {_search('false', 3)} SELECT {_columns} FROM best",
+    "saved_index_topk": f"WITH {_FOUND}, {_search('false', 3)} SELECT {_columns} FROM best",
     "conditioned_topk": f"WITH {_FOUND}, {_search(_same, 5)} SELECT {_columns} FROM best",
     "retrieval_metrics": f"""WITH {_FOUND}, {_search('false', 5, "b0")}, {_search(_same, 5, "b1")},
         all_q AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {_gold} AS gold FROM msg WHERE inbound)

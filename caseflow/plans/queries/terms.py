@@ -9,8 +9,8 @@ from caseflow.functions import text as t
 from caseflow.operators import conversations as conv
 from caseflow.operators import features as fx
 from caseflow.plans.queries import base
-from caseflow.session import materialize
-from caseflow.sources import standin
+from caseflow.session import materialize, scratch_path
+from caseflow.sources import standin, tables
 
 # Stop words for the checked queries; the operators default to Spark's English list.
 STOP = ("the", "of", "and", "to", "in", "is", "that", "was", "for", "on")
@@ -31,6 +31,13 @@ def length_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
         "count", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "max", "p10", "p25", "p50", "p75", "p90", "p95")])
 
 
+def length_statistics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length distribution written as JSON and read back."""
+    path, found = scratch_path(spark, "length-statistics"), length_distribution(spark, sf_dir)
+    tables.write_json(found, path)
+    return spark.read.schema(found.schema).json(path)
+
+
 def price_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.describe(standin.table(spark, sf_dir, "orders"), "o_totalprice").select(
         "count", *[F.round(c, 2).alias(c) for c in ("mean", "std", "min", "max", "p10", "p25", "p50", "p75", "p90", "p95")])
@@ -79,7 +86,7 @@ def feature_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    top_terms, document_terms, length_distribution, price_distribution, word_tfidf, classifier_words, char_tfidf,
+    top_terms, document_terms, length_distribution, length_statistics_file, price_distribution, word_tfidf, classifier_words, char_tfidf,
     document_vocabulary, feature_union,
 )}
 
@@ -148,6 +155,8 @@ ORACLES = {
     "document_terms": f"""WITH docs AS (SELECT doc_id, {_words} AS text FROM documents), {_top("docs", "doc_id")}""",
     "length_distribution": _describe("w", f"""(SELECT CAST(len(list_filter(string_split({_words}, ' '), lambda w: w <> '')) AS DOUBLE) AS w
         FROM documents)""", 4),
+    "length_statistics_file": _describe("w", f"""(SELECT CAST(len(list_filter(string_split({_words}, ' '), lambda w: w <> '')) AS DOUBLE) AS w
+        FROM documents)""", 4),
     "price_distribution": _describe("o_totalprice", "orders", 2),
     "word_tfidf": _tfidf(sql_word_counts("docs", "tweet_id", 2, WORDS), 2, 25000),
     "classifier_words": _tfidf(sql_word_counts("docs", "tweet_id", 3, MARKS), 2, 15000),

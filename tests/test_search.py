@@ -100,7 +100,7 @@ def test_batches_and_blocks_change_nothing(spark, index, monkeypatch):
 
 def test_saved_index(spark, index, tmp_path):
     retrieval.save_index(index, str(tmp_path / "index"))
-    loaded = retrieval.load_index(spark, str(tmp_path / "index"), WORDS, CHARS)
+    loaded = retrieval.load_index(spark, str(tmp_path / "index"))
     assert search(spark, loaded) == search(spark, index)
 
 
