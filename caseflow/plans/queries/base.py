@@ -82,12 +82,12 @@ def sql_normal(col: str, gap: str = "") -> str:
 MSG = """
 raw AS (
   SELECT conv_id * 1000 + turn AS tweet_id, conv_id AS component_id,
-         CASE WHEN role = 'user' THEN 'cust_' || conv_id
+         CASE WHEN role = 'user' THEN 'cust_' || conv_id WHEN role = 'system' THEN 'system'
               ELSE 'brand_' || ((conv_id + CASE WHEN conv_id % 7 = 0 THEN turn ELSE 0 END) % 10) END AS author_id,
          role = 'user' AS inbound, text,
          CASE WHEN turn > 0 THEN conv_id * 1000 + turn - 1 END AS parent,
          1509494400 + conv_id * 1000 + turn AS sent
-  FROM conversations WHERE role <> 'system'),
+  FROM conversations),
 msg AS (
   SELECT *, row_number() OVER (PARTITION BY component_id ORDER BY tweet_id) - 1 AS turn_index FROM raw),
 first_in AS (

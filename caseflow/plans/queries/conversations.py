@@ -90,7 +90,6 @@ def _labelled(split: str) -> str:
 
 
 ORACLES = {
-    # a dropped system turn leaves the next turn without a parent, which starts a thread
     "reply_components": f"""WITH {base.MSG}, r AS (
         SELECT a.tweet_id, a.component_id, b.tweet_id IS NULL AS starts
         FROM raw a LEFT JOIN raw b ON a.parent = b.tweet_id)

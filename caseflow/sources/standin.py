@@ -1,7 +1,7 @@
 """The test tables seen as a support-message table.
 
 A conversation's turns become messages: each answers the turn before it, assistants are
-brand accounts, users are customers. System turns are left out. In every seventh
+brand accounts, users are customers, system turns have an outbound author of their own. In every seventh
 conversation each turn is another brand's, so that shared conversations occur too.
 """
 
@@ -35,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").where("role <> 'system'")
+    turns = table(spark, sf_dir, "conversations")
     tweet_id = F.col("conv_id") * 1000 + F.col("turn")
     inbound = F.col("role") == "user"
     shift = F.when(F.col("conv_id") % 7 == 0, F.col("turn")).otherwise(F.lit(0))
@@ -44,6 +44,7 @@ def messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(
         tweet_id.alias("tweet_id"),
         F.when(inbound, F.concat(F.lit("cust_"), F.col("conv_id").cast("string")))
+        .when(F.col("role") == "system", "system")
         .otherwise(F.concat(F.lit("brand_"), brand.cast("string"))).alias("author_id"),
         inbound.alias("inbound"),
         F.date_format(sent, "EEE MMM dd HH:mm:ss Z yyyy").alias("created_at"),
@@ -54,7 +55,7 @@ def messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").where("role <> 'system'")
+    turns = table(spark, sf_dir, "conversations")
     return turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("tweet_id"), F.col("conv_id").alias("component_id"))
 
 

@@ -57,7 +57,7 @@ def main() -> None:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
     names = args or list(QUERIES)
-    spark = local_session(8)
+    spark = local_session(__import__("os").environ.get("CHECK_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
