@@ -12,7 +12,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseflow.functions import packs
 from caseflow.functions import text as t
+from caseflow.functions.rules import RulePack, Taxonomy
 from caseflow.operators import features as fx
 from caseflow.operators.ranks import hashed_position
 from caseflow.session import materialize
@@ -77,6 +79,22 @@ class MajorityBaseline:
         return rows.withColumn("intent", F.lit(self.label)).withColumn("probabilities", chances)
 
 
+@dataclass(frozen=True)
+class RuleClassifier:
+    """Intents by the first rule that matches; sure where one rule matches, unsure where several or none do."""
+
+    pack: RulePack
+    taxonomy: Taxonomy = packs.TAXONOMY
+
+    def transform(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
+        hits = self.pack.hit_count(F.col(text))
+        return (
+            rows.withColumn("intent", self.taxonomy.label_of(self.pack.first_match(F.col(text))))
+            .withColumn("confidence", F.when(hits > 0, F.round(1.0 / hits, 4)).otherwise(0.0))
+            .withColumn("margin", F.when(hits == 1, 1.0).otherwise(0.0))
+        )
+
+
 @dataclass
 class TfidfLogisticBaseline:
     """Single words, plain multinomial logistic regression, raw text."""

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from caseflow.functions import packs
 from caseflow.functions.rules import Taxonomy
 from caseflow.operators import metrics, replies, retrieval, splits
-from caseflow.operators.models import IntentModel
 from caseflow.plans import triage
 from caseflow.session import materialize
 
@@ -21,7 +20,7 @@ SCORES = (
 
 
 def evaluate(
-    golden: DataFrame, model: IntentModel, index: retrieval.Index, k: int = 3,
+    golden: DataFrame, model: triage.Predictor, index: retrieval.Index, k: int = 3,
     published_scoring: bool = False, taxonomy: Taxonomy = packs.TAXONOMY,
 ) -> DataFrame:
     """One result row per benchmark row: prediction, decision, reply and rubric scores.

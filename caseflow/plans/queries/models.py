@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from caseflow.functions import packs
 from caseflow.operators import clustering, metrics, retrieval, splits
 from caseflow.operators import conversations as conv
-from caseflow.operators.models import IntentClassifier, IntentModel, MajorityBaseline, TfidfLogisticBaseline
+from caseflow.operators.models import IntentClassifier, IntentModel, MajorityBaseline, RuleClassifier, TfidfLogisticBaseline
 from caseflow.plans import evaluation, triage
-from caseflow.plans.queries import base
+from caseflow.plans.queries import base, replies, search
 from caseflow.session import materialize, scratch_path
 from caseflow.sources import standin
 from caseflow.streaming import triage as streaming
@@ -79,6 +79,17 @@ def triage_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triage.output(triage.run(queries, model, index))
 
 
+def triage_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triage with intents by rules: classification, search, gates and replies in one result."""
+    stored, assignment = base.assigned(spark, sf_dir)
+    index = retrieval.fit_index(conv.resolution_pairs(stored, assignment))
+    queries = stored.where("inbound").select(F.col("tweet_id").alias("q_id"), "text")
+    done = triage.run(queries, RuleClassifier(base.PACK), index)
+    return done.select(
+        "q_id", "intent", "confidence", "margin", F.col("top_score").alias("top_score"), F.array_join("reason_codes", ",").alias("codes"),
+        "decision", "reason", F.md5("suggested_reply").alias("reply_md5"), "is_grounded", F.array_join("evidence_ids", ",").alias("evidence_ids"))
+
+
 def streaming_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, model, index = _triage_setting(spark, sf_dir)
     path = scratch_path(spark, "stream")
@@ -124,7 +135,7 @@ def headline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    majority_baseline, logistic_baseline, intent_classifier, model_comparison, topic_clusters, triage_messages,
+    majority_baseline, logistic_baseline, intent_classifier, model_comparison, topic_clusters, triage_messages, triage_rules,
     streaming_triage, streaming_gates, evaluation_results, headline_metrics,
 )}
 
@@ -133,7 +144,20 @@ _gate = (
     r"'[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{0600}-\x{06ff}\x{0400}-\x{04ff}]'))"
 )
 
+_hits = base.sql_hit_count("m.text", base.PACK)
+
 ORACLES = {
+    "triage_rules": f"""WITH {search.FOUND}, {search.sql_search(search.SAME, 3)},
+        t1 AS (SELECT m.tweet_id, m.text, {base.sql_label(base.sql_first_match("m.text", base.PACK))} AS intent,
+               CASE WHEN {_hits} > 0 THEN round(1.0::DOUBLE / {_hits}, 4) ELSE 0 END AS confidence,
+               CASE WHEN {_hits} = 1 THEN 1.0::DOUBLE ELSE 0 END AS margin, b.score AS top_score, c.agent_reply AS piece
+               FROM msg m LEFT JOIN best b ON b.q_id = CAST(m.tweet_id AS VARCHAR) AND b.rank = 1 LEFT JOIN corpus c ON c.case_id = b.case_id
+               WHERE m.inbound),
+        ev AS (SELECT q_id, string_agg(case_id, ',' ORDER BY rank) AS ids FROM best GROUP BY 1),
+        {replies.sql_decided("t1")[:-1]}
+        SELECT CAST(tweet_id AS VARCHAR) AS q_id, intent, confidence, margin, top_score, array_to_string(codes, ',') AS codes, decision, reason,
+               md5(suggested_reply) AS reply_md5, top_score IS NOT NULL AS is_grounded, coalesce(ids, '') AS evidence_ids
+        FROM s3 LEFT JOIN ev ON q_id = CAST(tweet_id AS VARCHAR)""",
     "majority_baseline": f"""WITH strata AS (SELECT lang AS stratum, count(*) AS n FROM documents GROUP BY 1),
         {base.sql_quotas("strata")},
         p AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('{base.SEED}:' || doc_id), doc_id) AS k FROM documents)

@@ -133,6 +133,18 @@ _relevance = "CASE WHEN length(suggested_reply) < 15 THEN 2 " + " ".join(
     f"WHEN intent = {_q(k)} AND {_any('lo', v)} THEN 5" for k, v in replies.RELEVANT_WORDS.items()) + " ELSE 4 END"
 _refund, _action = _any("lo", replies.CLAIMED_REFUND), _any("lo", replies.CLAIMED_ACTION)
 
+def sql_decided(source: str) -> str:
+    """CTEs that end in ``s3``: codes, decision, reason and reply for ``intent, confidence, margin, top_score, piece``."""
+    return f"""s2 AS (SELECT *, {_codes} AS codes, {_reasons} AS why, {_scrubbed} AS scrubbed FROM {source}),
+s3 AS (
+  SELECT *, CASE WHEN len(codes) > 0 THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision,
+         CASE WHEN len(codes) > 0 THEN why[1] ELSE 'High intent confidence (' || {_two('confidence')}
+              || ') and verified grounded historical evidence (' || {_two('top_score')} || ').' END AS reason,
+         CASE WHEN top_score IS NULL THEN {_q(packs.REPLY_NO_EVIDENCE)}
+              WHEN length(scrubbed) >= 20 AND NOT starts_with(lower(scrubbed), '{replies.NOT_REUSED}') THEN scrubbed
+              ELSE {_template} END AS suggested_reply FROM s2),"""
+
+
 SCORED = f"""
 {base.MSG},
 s0 AS (
@@ -145,14 +157,7 @@ s1 AS (
   SELECT *, CASE WHEN tweet_id % 4 = 0 THEN {_list}[list_position({_list}, intent) % {len(_names)} + 1] ELSE intent END AS human_intent,
          '@cust ' || CASE WHEN tweet_id % 3 = 0 THEN 'ok ' || tweet_id ELSE coalesce(reply, '') END
            || CASE WHEN tweet_id % 5 = 0 THEN ' We have refunded you, please check. ^AB' ELSE ' -XY' END AS piece FROM s0),
-s2 AS (SELECT *, {_codes} AS codes, {_reasons} AS why, {_scrubbed} AS scrubbed FROM s1),
-s3 AS (
-  SELECT *, CASE WHEN len(codes) > 0 THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision,
-         CASE WHEN len(codes) > 0 THEN why[1] ELSE 'High intent confidence (' || {_two('confidence')}
-              || ') and verified grounded historical evidence (' || {_two('top_score')} || ').' END AS reason,
-         CASE WHEN top_score IS NULL THEN {_q(packs.REPLY_NO_EVIDENCE)}
-              WHEN length(scrubbed) >= 20 AND NOT starts_with(lower(scrubbed), '{replies.NOT_REUSED}') THEN scrubbed
-              ELSE {_template} END AS suggested_reply FROM s2),
+{sql_decided("s1")}
 s4 AS (SELECT *, lower(suggested_reply) AS lo FROM s3),
 s5 AS (
   SELECT *, {_relevance} AS relevance,

@@ -59,7 +59,7 @@ QUERIES = {f.__name__: f for f in (hybrid_topk, saved_index_topk, conditioned_to
 _gold = base.sql_label(base.sql_first_match("text", base.PACK))
 
 
-def _search(bonus: str, k: int, name: str = "best") -> str:
+def sql_search(bonus: str, k: int, name: str = "best") -> str:
     return f"""
 {name}_s AS (
   SELECT q.q_id, q.gold, c.case_id, c.intent, coalesce(l.s, 0) AS lex, coalesce(m.s, 0) AS sem,
@@ -86,7 +86,7 @@ def _pairs(kind: str, counts, min_df: int, limit: int) -> str:
                  FROM {kind}_qw q JOIN {kind}_cw c USING (term) GROUP BY 1, 2)"""
 
 
-_FOUND = f"""
+FOUND = f"""
 {base.CORPUS},
 cdocs AS (SELECT case_id, cleaned_customer_text AS text FROM corpus),
 queries AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {base.sql_clean("text")} AS text, {_gold} AS gold
@@ -95,7 +95,7 @@ qdocs AS (SELECT q_id, text FROM queries),
 {_pairs("lex", lambda d, i, n: terms.sql_word_counts(d, i, 2, terms.WORDS, name=n), 2, 25000)},
 {_pairs("sem", lambda d, i, n: terms.sql_char_counts(d, i, n), 3, 35000)}"""
 
-_same = f"c.intent = q.gold AND q.gold IN {base.sql_list(packs.TAXONOMY.labels)}"
+SAME = f"c.intent = q.gold AND q.gold IN {base.sql_list(packs.TAXONOMY.labels)}"
 _columns = "q_id, rank, case_id, score, lexical_score, semantic_score, intent, is_sufficient"
 
 
@@ -111,10 +111,10 @@ def _metrics(best: str, how: str) -> str:
 
 
 ORACLES = {
-    "hybrid_topk": f"WITH {_FOUND}, {_search('false', 3)} SELECT {_columns} FROM best",
-    "saved_index_topk": f"WITH {_FOUND}, {_search('false', 3)} SELECT {_columns} FROM best",
-    "conditioned_topk": f"WITH {_FOUND}, {_search(_same, 5)} SELECT {_columns} FROM best",
-    "retrieval_metrics": f"""WITH {_FOUND}, {_search('false', 5, "b0")}, {_search(_same, 5, "b1")},
+    "hybrid_topk": f"WITH {FOUND}, {sql_search('false', 3)} SELECT {_columns} FROM best",
+    "saved_index_topk": f"WITH {FOUND}, {sql_search('false', 3)} SELECT {_columns} FROM best",
+    "conditioned_topk": f"WITH {FOUND}, {sql_search(SAME, 5)} SELECT {_columns} FROM best",
+    "retrieval_metrics": f"""WITH {FOUND}, {sql_search('false', 5, "b0")}, {sql_search(SAME, 5, "b1")},
         all_q AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {_gold} AS gold FROM msg WHERE inbound)
         {_metrics("b0", "none")} UNION ALL {_metrics("b1", "gold")}""",
 }
