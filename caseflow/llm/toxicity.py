@@ -7,7 +7,8 @@ counts (in how many contexts a shorter n-gram was seen) down to single letters.
 therefore says nothing but what its context's backoff weights say.
 
 A text's log-likelihood ratio is normalised by its length in two ways: per word over the whole text, and per word over the
-run of ``window`` words where it is largest, as a long text may be toxic in one place. A logistic fit turns both into
+run of ``window`` words where it is largest, as a long text may be toxic in one place (there, a repeated word counts
+once). A logistic fit turns both into
 the score. It uses a sample of at most about ``calibration_rows`` labelled rows, each scored by a model of the other half
 of the labelled rows; counts always come from all labelled rows.
 
@@ -188,9 +189,13 @@ class WordScores:
         result = np.zeros((len(texts), 2))
         for k, own in enumerate(tokens):
             if own:
-                value = np.cumsum([0.0, *map(self.known.__getitem__, own)])
-                size = min(window, len(own))
-                result[k] = value[-1] / len(own), (value[size:] - value[:-size]).max() / size
+                value = np.fromiter(map(self.known.__getitem__, own), float, len(own))
+                name = np.fromiter(map(hash, own), np.int64, len(own))
+                once, size = value.copy(), min(window, len(own))
+                for back in range(1, size):  # a word that a run repeats says nothing new
+                    once[back:][name[back:] == name[:-back]] = 0.0
+                total = np.cumsum(np.r_[0.0, once])
+                result[k] = value.mean(), (total[size:] - total[:-size]).max() / size
         return result
 
 
