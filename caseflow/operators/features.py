@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseflow.operators.ranks import quantile_bins
+
 # Token patterns. Words have two characters or more unless stated.
 WORD = r"\b\w\w+\b"
 WORD_MONEY_MARKS = r"\b\w+\b|\$[\d]+|[!?]+"
@@ -212,16 +214,15 @@ def top_terms(
     )
 
 
-BINS = 10_000
 POINTS = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact percentiles of a numeric column.
 
-    Percentiles interpolate between two ranks. Distinct values are counted, cut into bins
-    between the extremes and numbered within a bin, after the rows of lower bins; no task
-    holds all values, and the rows around the wanted ranks are all that is left at the end.
+    Percentiles interpolate between two ranks. Distinct values are counted, cut into bins of about
+    equally many and numbered within a bin, after the rows of lower bins; no task holds all
+    values, and the rows around the wanted ranks are all that is left at the end.
     """
     from pyspark.sql import Window as W
 
@@ -229,12 +230,9 @@ def describe(df: DataFrame, col: str) -> DataFrame:
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"),
     ).first()
-    n, low, span = stats["count"], stats["min"] or 0.0, (stats["max"] or 0.0) - (stats["min"] or 0.0)
-    share = (F.col("v") - low) / (span or 1.0)
-    values = (
-        df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
-        .agg(F.count("*").alias("ties")).withColumn("bin", F.floor(share * BINS))
-    )
+    n = stats["count"]
+    values = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("ties"))
+    values = values.withColumn("bin", quantile_bins(values, "v"))
     before = W.partitionBy(F.lit(1)).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = values.groupBy("bin").agg(F.sum("ties").alias("rows")).select(
         "bin", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import packs
 from caseflow.functions.rules import Taxonomy
+from caseflow.operators.ranks import quantile_bins
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -138,13 +139,13 @@ def reply_quality(df: DataFrame) -> DataFrame:
     )
 
 
-def _average_ranks(pairs: DataFrame, side: str, by: list[str], width: float) -> DataFrame:
+def _average_ranks(pairs: DataFrame, side: str, by: list[str]) -> DataFrame:
     """``by..., side, rank_side``: mean rank of each distinct value.
 
-    Values are cut into bins of ``width``; ranks within a bin are shifted by the rows in
+    Values are cut into bins of about equally many; ranks within a bin are shifted by the rows in
     lower bins. A window thus sees the distinct values of one bin, or the bins of a group.
     """
-    values = pairs.groupBy(*by, side).agg(F.sum("n").alias("ties")).withColumn("bin", F.floor(F.col(side) / width))
+    values = pairs.groupBy(*by, side).agg(F.sum("n").alias("ties")).withColumn("bin", quantile_bins(pairs, side, 64))
     before = W.partitionBy(*by).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = values.groupBy(*by, "bin").agg(F.sum("ties").alias("n")).select(
         *by, "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")
@@ -164,12 +165,11 @@ def _pearson(x: str, y: str) -> Column:
     return F.when(varies, F.try_divide(moment(x, y), F.sqrt(moment(x, x)) * F.sqrt(moment(y, y)))).otherwise(F.lit(1.0))
 
 
-def agreement(df: DataFrame, a: str, b: str, by: tuple[str, ...] = (), bin_width: float = 1.0) -> DataFrame:
+def agreement(df: DataFrame, a: str, b: str, by: tuple[str, ...] = ()) -> DataFrame:
     """How far two ratings agree: exact, within 1 and 2, error, Pearson and Spearman.
 
     Rows are reduced to counts per pair of scores at once, so a score that most rows share
     is no hot key later. ``by`` names report dimensions, of which there are few.
-    ``bin_width`` suits rubric points; use a fine one for scores between 0 and 1.
     """
     group = [*by, "_all"]
     pairs = (
@@ -179,7 +179,7 @@ def agreement(df: DataFrame, a: str, b: str, by: tuple[str, ...] = (), bin_width
     )
     ranked = pairs
     for side in ("a", "b"):
-        ranked = ranked.join(_average_ranks(pairs, side, group, bin_width), [*group, side])
+        ranked = ranked.join(_average_ranks(pairs, side, group), [*group, side])
     n = F.col("n")
     gap = F.abs(F.col("a") - F.col("b"))
     share = lambda c: F.round(100 * F.sum(F.when(c, n).otherwise(0)) / F.sum(n), 2)

@@ -103,3 +103,13 @@ def top_n(
         .withColumn(output, F.row_number().over(second)).where(F.col(output) <= n)
         .drop("_salt", "_rn")
     )
+
+
+def quantile_bins(df: DataFrame, col: str, n: int = 256) -> Column:
+    """Number of a value's bin, for up to ``n`` bins that hold about equally many rows of ``df``.
+
+    Borders are approximate quantiles, at most ``n`` numbers; bins rise with the values, so anything exact can
+    be counted within a bin and summed over lower bins. One far outlier moves no border.
+    """
+    borders = sorted(set(df.approxQuantile(col, [k / n for k in range(1, n)], 0.25 / n)))
+    return F.size(F.filter(F.array(*[F.lit(float(b)) for b in borders]).cast("array<double>"), lambda b: b <= F.col(col)))

@@ -100,8 +100,7 @@ def test_published_classification(spark):
 def test_published_agreement(spark):
     rows = [tuple(map(int, p.split(","))) for p in RATINGS.split()]
     df = spark.createDataFrame(rows, "a int, b int")
-    for width in (1.0, 5.0, 100.0):
-        assert tuple(metrics.agreement(df, "a", "b", bin_width=width).first()) == (40, 5.0, 35.0, 57.5, 2.35, 0.4027, 0.3811)
+    assert tuple(metrics.agreement(df, "a", "b").first()) == (40, 5.0, 35.0, 57.5, 2.35, 0.4027, 0.3811)
 
 
 def test_constant_scores_and_missing_labels(spark):
@@ -116,3 +115,18 @@ def test_constant_scores_and_missing_labels(spark):
 def test_two_decimals_follow_the_binary_value(spark):
     row = spark.range(1).select(*[F.format_number(F.lit(x), 2).alias(f"c{n}") for n, x in enumerate((0.285, 0.125, 0.515))]).first()
     assert list(row) == ["%.2f" % x for x in (0.285, 0.125, 0.515)]
+
+
+def test_ranks_and_percentiles_of_fractions_and_outliers(spark):
+    import numpy as np
+    import pandas as pd
+
+    from caseflow.operators import features
+
+    draw = np.random.default_rng(0)
+    x, y = draw.random(300).round(3), draw.random(300).round(2)
+    x[0] = 1e12
+    df = spark.createDataFrame(pd.DataFrame({"a": x, "b": y}))
+    assert metrics.agreement(df, "a", "b").first()["spearman"] == pytest.approx(pd.Series(x).rank().corr(pd.Series(y).rank()), abs=1e-4)
+    row = features.describe(df, "a").first()
+    assert [row[f"p{int(100 * p)}"] for p in features.POINTS] == pytest.approx(list(np.quantile(x, features.POINTS)))
