@@ -23,6 +23,7 @@ from caseflow.session import materialize
 TOLERANCE = 1e-6
 # Newton steps with halving end long before this; beyond it something is wrong.
 NEWTON_ERROR = 1_000
+ROWS_PER_TASK = 1_000
 
 # Thresholds of the classifier's own confidence flag.
 MIN_CONFIDENCE = 0.55
@@ -42,9 +43,9 @@ def _label_name(index: Column, labels: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in labels]), (index + 1).cast("int"))
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Training rows over the cluster's cores, since each solver step is one short task a partition."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+def _spread(rows: DataFrame, n: int) -> DataFrame:
+    """Training rows over as many tasks as they keep busy in a solver step, at most one a core."""
+    return rows.repartition(max(1, min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))))
 
 
 def _converged(model: LogisticRegressionModel, max_iter: int) -> LogisticRegressionModel:
@@ -120,7 +121,7 @@ class TfidfLogisticBaseline:
         self.model = _converged(LogisticRegression(
             family="multinomial", regParam=1.0 / (self.c * n), elasticNetParam=0.0,
             standardization=False, maxIter=self.max_iter, tol=TOLERANCE,
-        ).fit(_spread(rows)), self.max_iter)
+        ).fit(_spread(rows, n)), self.max_iter)
         return self
 
     def transform(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
@@ -173,7 +174,7 @@ class IntentClassifier:
         stored = materialize(folded.select("y", "fold", "features"), "features")
         rows = stored.select(F.col("y").alias("y", metadata=classes), "fold", "features")
         # the rows are read once per solver step, so they are held on the executors
-        rows = _spread(rows).persist()
+        rows = _spread(rows, stored.count()).persist()
         try:
             with ThreadPoolExecutor(self.folds) as pool:
                 fitted = list(pool.map(lambda f: self._fit_fold(rows, f, len(labels)), range(self.folds)))
