@@ -12,8 +12,8 @@ once). A logistic fit turns both into
 the score. It uses a sample of at most about ``calibration_rows`` labelled rows, each scored by a model of the other half
 of the labelled rows; counts always come from all labelled rows.
 
-The model that tasks receive lists the n-grams which make up at least one in ``max_grams`` of all counted ones (and
-occur twice), so it never has more than ``max_grams`` of them; rarer ones back off.
+Every n-gram and every context counts, however rare. The model is cut by hash of the contexts into blocks of about
+``block_grams`` n-grams. A task holds one block at a time and takes the words of a slice of texts through all of them.
 
 Defined results. Empty and null texts get the score of a text without evidence. Labels other than 0 and 1, null labels
 and null ids are not learnt from; several labels of one id count as toxic if one of them is. Without rows of both classes
@@ -37,9 +37,11 @@ from caseflow.llm.words import mix, small_batches
 ORDER = 5
 DISCOUNT = 0.75
 WINDOW = 5
-MAX_GRAMS = 1 << 22
+BLOCK_GRAMS = 1 << 22
 CALIBRATION_ROWS = 20_000
 SLICE = 1 << 20
+#: With several blocks, slices are up to so many times larger, as every slice reads every block.
+MOST_SLICES = 8
 KNOWN_WORDS = 300_000
 WORD = re.compile(r"[^\W_]+")
 #: Stands before a word, and behind it.
@@ -109,11 +111,10 @@ def shared_backoff(grams: DataFrame, order: int) -> DataFrame:
     return low
 
 
-def _class_model(counts: DataFrame, backoff: DataFrame, max_grams: int) -> tuple[DataFrame, DataFrame]:
-    """``gram, value`` and ``head, value``: log ratios of n-grams, and of contexts whose next letter is unseen."""
+def _class_model(counts: DataFrame, backoff: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``head, gram, value`` and ``head, value``: log ratios of n-grams, and of contexts whose next letter is unseen."""
     pooled = counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     pooled = materialize(pooled, "grams")
-    total = pooled.agg(F.sum(F.col("toxic") + F.col("ordinary"))).first()[0] or 0
     head = F.expr("substring(gram, 1, length(gram) - 1)")
     per_class = [
         x
@@ -131,11 +132,8 @@ def _class_model(counts: DataFrame, backoff: DataFrame, max_grams: int) -> tuple
     def weight(c: str) -> Column:
         return F.when(F.col(f"s_{c}") > 0, DISCOUNT * F.col(f"k_{c}") / F.col(f"s_{c}")).otherwise(1.0)
 
-    least = max(2, -(-total // max_grams))
-    often = F.col("toxic") + F.col("ordinary") >= least
-    grams = joined.where(often).select("gram", F.log(chance("toxic") / chance("ordinary")).alias("value"))
-    contexts = heads.where(F.col("s_toxic") + F.col("s_ordinary") >= least).select("head", F.log(weight("toxic") / weight("ordinary")).alias("value"))
-    return grams, contexts
+    grams = joined.select("head", "gram", F.log(chance("toxic") / chance("ordinary")).alias("value"))
+    return grams, heads.select("head", F.log(weight("toxic") / weight("ordinary")).alias("value"))
 
 
 def _keys(grams: list[str], length: int) -> np.ndarray:
@@ -153,9 +151,13 @@ def _key(codes: np.ndarray) -> np.ndarray:
 class WordScores:
     """Log-likelihood ratios of words; what was looked up is kept for a while."""
 
-    def __init__(self, model: tuple, order: int):
-        (self.grams, self.gram_values), (self.heads, self.head_values) = model
-        self.order, self.known = order, {}
+    def __init__(self, blocks: list, order: int):
+        self.blocks, self.order, self.known = blocks, order, {}
+
+    def _tables(self):
+        """The blocks in turn. Of several, none stays in memory after its turn."""
+        for block in self.blocks:
+            yield block.value if len(self.blocks) == 1 else block.load_from_path(block._path)
 
     @staticmethod
     def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,9 +179,11 @@ class WordScores:
         first = np.cumsum(sizes + n - 2) - (sizes + n - 2)
         at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         windows = np.lib.stride_tricks.sliding_window_view(codes, n)[at]
-        seen, value = self._found(self.grams, self.gram_values, _key(windows))
-        known, other = self._found(self.heads, self.head_values, _key(windows[:, :-1]))
-        value = np.where(seen, value, np.where(known, other, 0.0))
+        wanted, contexts, value = _key(windows), _key(windows[:, :-1]), np.zeros(len(windows))
+        for grams, heads in self._tables():  # a context and its n-grams are in one block
+            seen, own = self._found(*grams, wanted)
+            known, other = self._found(*heads, contexts)
+            value = np.where(seen, own, np.where(known, other, value))
         self.known.update(zip(new, np.add.reduceat(value, np.cumsum(sizes) - sizes).tolist(), strict=True))
 
     def features(self, texts: list[str | None], window: int) -> np.ndarray:
@@ -202,20 +206,21 @@ class WordScores:
 class ToxicityModel:
     """N-gram ratios and the logistic fit over the two features."""
 
-    def __init__(self, spark, model: tuple, coefficients: np.ndarray | None, order: int, window: int):
-        self.shared = spark.sparkContext.broadcast((model, coefficients, order, window))
+    def __init__(self, blocks: list, coefficients: np.ndarray | None, order: int, window: int):
+        self.blocks, self.coefficients, self.order, self.window = blocks, coefficients, order, window
 
     def score(self, docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, output: str = "score", raw: bool = False) -> DataFrame:
         """The documents' columns with ``score``, or with the two features where ``raw``."""
-        keep, shared = list(docs.columns) if keep is None else keep, self.shared
+        keep = list(docs.columns) if keep is None else keep
+        blocks, coefficients, order, window = self.blocks, self.coefficients, self.order, self.window
+        most = SLICE * max(1, min(len(blocks), MOST_SLICES))
         names = [distinct_name(keep, x) for x in (("per_word", "per_window") if raw else (output,))]
         source = docs.select(*dict.fromkeys([*keep, text_col]))
         schema = source.select(*keep, *[F.lit(0.0).alias(x) for x in names]).schema
 
         def rate(batches):
-            model, coefficients, order, window = shared.value
-            scores = WordScores(model, order)
-            for batch in small_batches(batches, text_col, SLICE):
+            scores = WordScores(blocks, order)
+            for batch in small_batches(batches, text_col, most):
                 x = scores.features(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), window)
                 if raw:
                     values = [x[:, 0], x[:, 1]]
@@ -229,15 +234,34 @@ class ToxicityModel:
         return source.mapInArrow(rate, schema)
 
 
-def _collected(tables: tuple[DataFrame, DataFrame], order: int) -> tuple:
-    """Both tables as sorted keys and values; they have at most ``max_grams`` rows each."""
-    result = []
-    for frame, length in zip(tables, (order, order - 1), strict=True):
-        found = frame.toArrow()
-        keys = _keys(found.column(0).to_pylist(), length)
-        place = np.argsort(keys)
-        result.append((keys[place], found.column(1).to_numpy()[place]))
-    return tuple(result)
+def _shared(tables: tuple[DataFrame, DataFrame], order: int, block_grams: int) -> list:
+    """Broadcast blocks of both tables as sorted keys and values; only one block at a time is on the driver."""
+    grams, heads = tables
+    spark, bucket = grams.sparkSession, F.pmod(F.xxhash64("head"), F.lit(1 << 20)).cast("int").alias("bucket")
+
+    def keyed(length: int):
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    keys = _keys(batch.column(1).to_pylist(), length).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), batch.column(2)], ["bucket", "key", "value"])
+
+        return run
+
+    parts = [
+        materialize(frame.select(bucket, name, "value").mapInArrow(keyed(length), "bucket int, key long, value double"), "ratios")
+        for frame, name, length in ((grams, "gram", order), (heads, "head", order - 1))
+    ]
+    result, blocks = [], max(1, -(-parts[0].count() // block_grams))
+    for k in range(blocks):
+        own = []
+        for part in parts:
+            found = part.where(F.pmod("bucket", F.lit(blocks)) == k).select("key", "value").toArrow()
+            keys = found.column(0).to_numpy().view(np.uint64)
+            place = np.argsort(keys)
+            own.append((keys[place], found.column(1).to_numpy()[place]))
+        result.append(spark.sparkContext.broadcast(tuple(own)))
+    return result
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 200) -> np.ndarray:
@@ -264,11 +288,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 20
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, use: Column | None = None, order: int = ORDER, window: int = WINDOW, max_grams: int = MAX_GRAMS,
+    docs: DataFrame, labels: DataFrame, use: Column | None = None, order: int = ORDER, window: int = WINDOW, block_grams: int = BLOCK_GRAMS,
     calibration_rows: int = CALIBRATION_ROWS,
 ) -> ToxicityModel:
     """A model of all labelled rows of ``docs`` (doc_id, text) for which ``use`` (of doc_id) holds."""
-    spark = docs.sparkSession
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
     known = known.where(use) if use is not None else known
     known = materialize(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labels")
@@ -276,22 +299,21 @@ def fit(
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
     labelled = materialize(texts.withColumn("half", half), "labelled")
     sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    empty = ((np.empty(0, np.uint64), np.empty(0)),) * 2
     if len(sizes) < 2:
-        return ToxicityModel(spark, empty, None, order, window)
+        return ToxicityModel([], None, order, window)
     counts = materialize(gram_counts(labelled, order), "counts")
     backoff = shared_backoff(counts, order)
     rows = sum(sizes.values())
     sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(rows)) < calibration_rows)
     features = []
     for k in (0, 1):
-        other = ToxicityModel(spark, _collected(_class_model(counts.where(F.col("half") != k), backoff, max_grams), order), None, order, window)
+        other = ToxicityModel(_shared(_class_model(counts.where(F.col("half") != k), backoff), order, block_grams), None, order, window)
         features.append(other.score(sample.where(F.col("half") == k), keep=["toxic"], raw=True).toArrow())
     table = pa.concat_tables(features)
     y = table.column("toxic").to_numpy().astype(float)
     x = np.c_[table.column("per_word").to_numpy(), table.column("per_window").to_numpy()]
     coefficients = _logistic(x, y) if 0 < y.sum() < len(y) else np.array([-1.0, 1.0, 1.0])
-    return ToxicityModel(spark, _collected(_class_model(counts, backoff, max_grams), order), coefficients, order, window)
+    return ToxicityModel(_shared(_class_model(counts, backoff), order, block_grams), coefficients, order, window)
 
 
 def report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:

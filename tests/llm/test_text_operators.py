@@ -132,6 +132,19 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean([p == y for p, y in held]) > 0.97
 
 
+def test_toxicity_learns_from_what_was_seen_once(spark):
+    docs = [(k, f"ordinary words stand here {'grumpf' if k == 0 else 'banana'}") for k in range(40)]
+    labels = spark.createDataFrame([(k, int(k == 0)) for k in range(40)], "doc_id long, toxic int")
+    told = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "grumpf"), (2, "banana"), (3, "zzz"), (4, "")], "doc_id long, text string")
+    found = []
+    for options in ({}, {"block_grams": 9}):
+        model = toxicity.fit(told, labels, **options)
+        found.append({r["doc_id"]: r["per_word"] for r in model.score(asked, raw=True).collect()})
+    assert found[0][1] > 3 and found[0][2] < 0 and found[0][4] == 0  # grumpf stands in one text only
+    assert len(model.blocks) > 3 and found[0] == found[1]
+
+
 def test_toxicity_without_labels(spark, edge):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.report(edge, none).collect()} == {0.0}
