@@ -8,9 +8,12 @@ and reranked by the exact product of the original vectors.
 Longer vectors may have larger products, so candidates get one more coordinate that brings all to one length, and queries
 a zero there; the largest product is then the smallest distance.
 
+Equal vectors are one node with its k + 1 smallest ids; no further copy can be among the k nearest. Curves order nodes, and
+a query's own node is always a candidate. Ids take the places of nodes in the final ranking.
+
 Candidates lie in tiles of at most ``tile`` rows; a query goes to each tile that its window touches. Tiles hold equally
-many rows whatever the keys, equal vectors included, so no task gets more than a tile and the queries sent to it. Each
-tile gives back k rows a query. Windows are a share of the table so that recall depends on the data's shape, not on its
+many nodes whatever the keys, so no task gets more than a tile and the query nodes sent to it. Each
+tile gives back k + 1 nodes a query node (times the most vectors that one id has). Windows are a share of the table so that recall depends on the data's shape, not on its
 size: vectors without structure need wide windows (see README), clustered ones narrower.
 
 Defined results. Vectors that are null, zero, or hold null or non-finite components take no part, neither do null ids and
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from caseflow.llm.mixing import positions
 from caseflow.llm.tables import materialize
+from caseflow.operators.ranks import top_n
 
 CURVES = 12
 SHARE = 0.125
@@ -35,6 +39,7 @@ TILE = 4096
 DIRECTIONS = 4
 BITS = 12
 SEED = 11
+FOUND = "q_id long, q_h long, id long, h long, low long, score double"
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -103,62 +108,92 @@ def _curve_keys(rows: DataFrame, radius: float, curves: int, directions: int, bi
     return rows.select("id", "h", "is_query", "v").mapInArrow(place, "curve int, key long, id long, h long, asks boolean")
 
 
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * b).sum(axis=1)  # the same sum for a pair wherever it is met
+
+
 def _best(k: int):
-    """For a tile of candidates and queries: each query's k best candidates."""
+    """For a tile of candidate and query nodes: each query's k best candidates."""
 
     def search(tile: pa.Table) -> pa.Table:
         asks = tile.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        ids = tile.column("id").to_numpy()
+        ids, marks, low = (tile.column(c).to_numpy() for c in ("id", "h", "low"))
         vectors = tile.column("v").combine_chunks()
         x = np.asarray(vectors.flatten(), np.float64).reshape(len(ids), -1) if len(ids) else np.empty((0, 1))
-        order = np.argsort(ids[~asks], kind="stable")
-        candidates, names = x[~asks][order], ids[~asks][order]
-        found: list[list[np.ndarray]] = [[], [], []]
-        questions, askers = x[asks], ids[asks]
-        for first in range(0, len(askers), 256):
-            rough = questions[first : first + 256] @ candidates.T
-            for row, asker, q in zip(rough, askers[first : first + 256], questions[first : first + 256], strict=True):
-                row[names == asker] = -np.inf
+        there, asked = np.flatnonzero(~asks), np.flatnonzero(asks)
+        there = there[np.lexsort((ids[there], low[there]))]
+        candidates, found = x[there], [[], [], []]
+        for first in range(0, len(asked), 256):
+            part = asked[first : first + 256]
+            for row, at in zip(x[part] @ candidates.T, part, strict=True):
                 if len(row) > k:
-                    near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k] - 1e-9 * (1 + np.abs(row).max(where=np.isfinite(row), initial=0)))
+                    near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k] - 1e-9 * (1 + np.abs(row).max()))
                 else:
                     near = np.arange(len(row))
-                near = near[names[near] != asker]
-                exact = (candidates[near] * q).sum(axis=1)  # the same sum for a pair wherever it is met
-                top = np.lexsort((names[near], -exact))[:k]
-                found[0].append(np.full(len(top), asker))
-                found[1].append(names[near][top])
+                exact = _products(candidates[near], x[at])
+                top = np.argsort(-exact, kind="stable")[:k]
+                found[0].append(np.full(len(top), at))
+                found[1].append(there[near][top])
                 found[2].append(exact[top])
-        columns = [np.concatenate(x) if x else np.empty(0) for x in found]
-        return pa.table({"query_id": columns[0].astype(np.int64), "vec_id": columns[1].astype(np.int64), "score": columns[2].astype(np.float64)})
+        q, c, score = (np.concatenate(y) if y else np.empty(0) for y in found)
+        q, c = q.astype(np.int64), c.astype(np.int64)
+        return pa.table({"q_id": ids[q], "q_h": marks[q], "id": ids[c], "h": marks[c], "low": low[c], "score": score.astype(np.float64)})
 
     return search
 
 
+def _own(nodes: DataFrame) -> DataFrame:
+    """Each query node as its own candidate."""
+
+    def rate(batches):
+        for batch in batches:
+            x = np.array(batch.column(3).to_pylist(), np.float64)
+            if len(x):
+                node = list(batch.columns[:2])
+                yield pa.RecordBatch.from_arrays([*node, *node, batch.column(2), pa.array(_products(x, x))], ["q_id", "q_h", "id", "h", "low", "score"])
+
+    return nodes.where("is_query").select("id", "h", "low", "v").mapInArrow(rate, FOUND)
+
+
 def nearest(
     vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", curves: int = CURVES,
     share: float = SHARE, tile: int = TILE, directions: int = DIRECTIONS, bits: int = BITS, seed: int = SEED,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k largest products found. ``is_query`` is a condition on ``id``."""
-    rows = usable(vectors, id_col, vector_col).withColumn("h", F.xxhash64("v")).withColumn("is_query", is_query)
-    rows = materialize(rows, "vectors")
+    rows = usable(vectors, id_col, vector_col).withColumn("is_query", F.coalesce(is_query, F.lit(False))).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))  # no -0
+    rows = materialize(rows.select(F.col("id").alias("vec"), F.xxhash64(F.lit(seed), "v").alias("id"), F.xxhash64("v").alias("h"), "v", "is_query"), "vectors")
+    node = ["id", "h"]
+    copies = top_n(rows.select(*node, "vec"), node, ["vec"], k + 1, "vec").groupBy(*node).agg(F.sort_array(F.collect_list("vec")).alias("ids"))
+    nodes = rows.groupBy(*node).agg(F.first("v").alias("v"), F.max("is_query").alias("is_query")).join(copies, node)
+    nodes = materialize(nodes.withColumn("low", F.get("ids", F.lit(0))), "nodes")
+    most = rows.groupBy("vec").count().agg(F.max("count")).first()[0] or 1
+    wide = (k + 1) * most
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    radius, n = rows.agg(F.max(length), F.count("*")).first()
-    keys = _curve_keys(rows, (radius or 1.0) * (1 + 1e-12), curves, directions, bits, seed)
+    radius, n = nodes.agg(F.max(length), F.count("*")).first()
+    keys = _curve_keys(nodes, (radius or 1.0) * (1 + 1e-12), curves, directions, bits, seed)
     placed = positions(keys, [F.col(c) for c in ("curve", "key", "id", "h", "asks")], "place")
-    entries = n + rows.where("is_query").count()
+    entries = n + nodes.where("is_query").count()
     half = max(1, int(entries * share / 2))
     size = min(tile, half)
     rank = F.col("place") - F.col("curve") * entries
     touched = F.sequence(
         F.greatest(F.lit(0), F.floor((rank - half) / size)), F.least(F.lit(max(0, entries - 1) // size), F.floor((rank + half) / size))
     )
-    tiles = placed.select("curve", "id", "h", "asks", F.explode(F.when(F.col("asks"), touched).otherwise(F.array(F.floor(rank / size)))).alias("tile"))
-    whole = tiles.join(rows.select("id", "h", "v"), ["id", "h"]).select("curve", "tile", "asks", "id", "v")
-    found = whole.groupBy("curve", "tile").applyInArrow(_best(k), "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    tiles = placed.select("curve", *node, "asks", F.explode(F.when(F.col("asks"), touched).otherwise(F.array(F.floor(rank / size)))).alias("tile"))
+    whole = tiles.join(nodes.select(*node, "low", "v"), node).select("curve", "tile", "asks", *node, "low", "v")
+    found = whole.groupBy("curve", "tile").applyInArrow(_best(wide), FOUND).unionByName(_own(nodes))
+    once = found.groupBy("q_id", "q_h", *node, "low").agg(F.max("score").alias("score"))
+    asker = W.partitionBy("q_id", "q_h")
+    near = once.withColumn("r", F.row_number().over(asker.orderBy(F.desc("score"), "low", *node))).where(F.col("r") <= wide)
+    named = near.join(nodes.select(*node, "ids"), node).select("q_id", "q_h", "score", F.explode("ids").alias("vec_id"))
+    named = named.groupBy("q_id", "q_h", "vec_id").agg(F.max("score").alias("score"))
+    named = named.withColumn("r", F.row_number().over(asker.orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= k + 1)
+    answers = named.groupBy("q_id", "q_h").agg(F.collect_list(F.struct("vec_id", "score")).alias("found"))
+    askers = rows.where("is_query").select(F.col("vec").alias("query_id"), F.col("id").alias("q_id"), F.col("h").alias("q_h"))
+    each = askers.join(answers, ["q_id", "q_h"]).select("query_id", F.inline("found")).where("vec_id <> query_id")
+    each = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def report(vectors: DataFrame, k: int = 20) -> DataFrame:

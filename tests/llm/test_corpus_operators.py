@@ -88,6 +88,22 @@ def test_neighbours_reach_their_recall(spark, sf_dir):
     assert np.mean(hits) / 20 >= 0.9
 
 
+def test_neighbours_among_equal_vectors(spark):
+    x = np.random.default_rng(4).normal(size=(900, 8)).astype(np.float32)
+    x[np.random.default_rng(5).permutation(900)[:300]] = x[0] * 2
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = neighbours.nearest(rows, F.col("id") % 10 == 0, 20).toPandas()
+    x, hits, copies = x.astype(float), [], (x == x[0] * 2).all(axis=1) | (x == x[0]).all(axis=1)
+    for k in range(0, 900, 10):
+        score = (x * x[k]).sum(axis=1)
+        score[k] = -np.inf
+        best = np.lexsort((np.arange(900), -score))[:20]
+        own = found[found.query_id == k].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 21))
+        hits.append((copies[k], len({*own.vec_id} & {*best})))
+    assert np.mean([h for _, h in hits]) / 20 >= 0.9 and np.mean([h for c, h in hits if c]) / 20 >= 0.9
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]), (None, [1.0, 1.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (8, [1.0, 1.0, 1.0])]
