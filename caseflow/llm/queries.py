@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.llm import decontaminate, language, licenses, mixing, neardup, neighbours, packing, pii, secrets, toxicity
+from caseflow.llm import context_tree, decontaminate, language, licenses, mixing, neardup, neighbours, orchard, packing, pii, secrets, spelling, sql, toxicity
 from caseflow.llm.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -54,6 +54,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.report(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_near_duplicates": op2_near_duplicates,
@@ -65,6 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_personal_data": op10_personal_data,
+    "op11_context_tree": op11_context_tree,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: Words of a text, A-Z in lower case; DuckDB's lower() would also change other letters.
@@ -173,4 +188,7 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)""",
+    "op11_context_tree": sql.CONTEXT_TREE,
+    "op12_vector_codes": sql.VECTOR_CODES,
+    "op13_spelling_variants": sql.SPELLING_VARIANTS,
 }
