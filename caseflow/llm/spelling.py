@@ -55,6 +55,7 @@ _DIM = np.zeros(256, np.int64)
 _DIM[97:123] = np.arange(26)
 _DIM[0xC0:] = 26 + np.arange(64) % 6
 _U = np.uint64
+BASE = 0x9E3779B97F4A7C15
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +194,7 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate([[1], np.full(n, 0x9E3779B97F4A7C15 | 1, _U)]).astype(_U))
+    return np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(n, BASE, _U)]))
 
 
 def _without(letters: np.ndarray) -> np.ndarray:
@@ -201,7 +202,7 @@ def _without(letters: np.ndarray) -> np.ndarray:
     power, value = _powers(letters.shape[1]), letters.astype(_U) + _U(1)
     before = np.cumsum(value * power[: letters.shape[1]], axis=1)
     after = np.cumsum((value * power[: letters.shape[1]])[:, ::-1], axis=1)[:, ::-1]
-    inverse = _U(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
+    inverse = _U(pow(BASE, -1, 1 << 64))
     before = before - value * power[: letters.shape[1]]
     return before + (after - value * power[: letters.shape[1]]) * inverse
 
