@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseflow.operators.joins import skewed_join
-from caseflow.operators.ranks import HOT_ROWS
 from caseflow.session import materialize
 
 
-def parent_links(messages: DataFrame, use_responses: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+def parent_links(messages: DataFrame, use_responses: bool = True) -> DataFrame:
     """``tweet_id -> parent`` where the parent is a row of the table; else parent is null.
 
     A message whose named parent is not in the table, or that names none, may be named in the response
@@ -19,7 +18,7 @@ def parent_links(messages: DataFrame, use_responses: bool = True, hot_rows: int
     links = messages.select("tweet_id", F.col("in_response_to_tweet_id").alias("parent"))
     known = messages.select(F.col("tweet_id").alias("parent"), F.lit(True).alias("known"))
     # rows without a parent carry no key; they keep out of the join
-    linked = skewed_join(links.where("parent IS NOT NULL"), known.distinct(), "parent", "left", hot_rows)
+    linked = skewed_join(links.where("parent IS NOT NULL"), known.distinct(), "parent", "left")
     found = links.where("parent IS NULL").unionByName(
         linked.select("tweet_id", F.when(F.col("known"), F.col("parent")).alias("parent"))
     )
@@ -38,92 +37,75 @@ def response_links(messages: DataFrame) -> DataFrame:
     return listed.select("by", F.expr("try_cast(child AS BIGINT)").alias("child")).where("child IS NOT NULL AND child <> by")
 
 
-def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
-    """Components joined by further links; a joined one takes the lowest of its ids.
+def _stored(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """Links written once, with their number and a sum of their hashes, taken while they are written."""
+    seen = Observation()
+    observed = links.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")).alias("h"))
+    stored = materialize(observed, "links")
+    return stored, (seen.get.get("n"), seen.get.get("h"))
 
-    Only links between different components are followed. Each round takes the lowest label beside a
-    component and then that label's own label, so chains shorten by half or more.
-    """
-    own = components.select(F.col("tweet_id").alias("by"), F.col("component_id").alias("a"))
-    other = components.select(F.col("tweet_id").alias("child"), F.col("component_id").alias("b"))
-    across = links.join(own, "by").join(other, "child").where("a <> b").select("a", "b").distinct()
-    edges = materialize(across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "merges")
-    labels = materialize(edges.select("a").distinct().withColumn("label", F.col("a")), "labels")
-    while labels.take(1):
-        beside = edges.join(labels.select(F.col("a").alias("b"), F.col("label").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
-        nearer = labels.join(beside, "a").select("a", "label", F.least("label", "near").alias("low"))
-        jump = labels.select(F.col("a").alias("low"), F.col("label").alias("next"))
-        moved = nearer.join(jump, "low").select("a", F.least("low", "next").alias("label"), (F.least("low", "next") < F.col("label")).alias("moved"))
-        moved = materialize(moved, "labels")
-        labels = moved.select("a", "label")
-        if not moved.where("moved").take(1):
-            break
-    labels = labels.withColumnRenamed("a", "component_id")
-    return components.join(labels, "component_id", "left").select("tweet_id", F.coalesce("label", "component_id").alias("component_id"))
-
-
-def reply_components(messages: DataFrame, use_responses: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``tweet_id, component_id``: connected components of reply links, named by the message that starts the thread.
 
-    ``use_responses=False`` follows only what each message answers. By default the response lists are links
-    as well, in either direction; threads that they join take the lowest of their ids.
-    """
-    if not use_responses:
-        return _threads(messages, False, hot_rows)
-    threads = materialize(_threads(messages, True, hot_rows), "threads")
-    return _merged(threads, response_links(messages))
+def contract(links: DataFrame) -> DataFrame:
+    """``node, lowest``: for every end ``a``, ``b`` of a link, the lowest end of its connected component.
 
+    Alternates two steps until the links are stars. A large-star step ties the higher neighbours of every node to the
+    lowest one beside it, a small-star step does so with the lower neighbours; a chain or hub of n nodes takes in the order of
+    log(n) rounds. The joins spread hubs.
+    """
+    ends = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
+    stored, state = _stored(ends)
+    before = None
+    while state != before:
+        before = state
+        both = stored.unionByName(stored.select(F.col("low").alias("high"), F.col("high").alias("low")))
+        both = both.select(F.col("high").alias("node"), F.col("low").alias("beside"))
+        least = materialize(both.groupBy("node").agg(F.least(F.col("node"), F.min("beside")).alias("least")), "least")
+        large = skewed_join(both.where("beside > node"), least, "node").select(F.col("beside").alias("high"), F.col("least").alias("low"))
+        large = materialize(large.distinct(), "links")
+        least = large.groupBy("high").agg(F.min("low").alias("least"))
+        met = skewed_join(large, least, "high")
+        moved = met.select("high", F.col("least").alias("low"))
+        rest = met.where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
+        stored, state = _stored(moved.unionByName(rest).distinct())
+    stars = stored.select(F.col("high").alias("node"), F.col("low").alias("lowest"))
+    return stars.unionByName(stars.select(F.col("lowest").alias("node"), "lowest").distinct())
+
+
+def _cycle_names(links: DataFrame, found: DataFrame) -> DataFrame:
+    """``lowest, name`` for components without a start: the lowest id on a cycle.
+
+    Following pointers as many steps as the largest of them has messages leads every message onto its cycle, and all of a
+    cycle is reached; each round doubles the steps.
+    """
+    moving = materialize(links.join(found, "tweet_id").select("tweet_id", F.col("parent").alias("pointer"), "lowest"), "cycles")
+    size = moving.groupBy("lowest").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(size.bit_length()):
+        ahead = moving.select(F.col("tweet_id").alias("pointer"), F.col("pointer").alias("next"))
+        moving = skewed_join(moving, ahead, "pointer").select("tweet_id", F.col("next").alias("pointer"), "lowest")
+        moving = materialize(moving, "cycles")
+    return moving.groupBy("lowest").agg(F.min("pointer").alias("name"))
 
-def _threads(messages: DataFrame, use_responses: bool, hot_rows: int) -> DataFrame:
-    """``tweet_id, component_id`` along one parent link of each message: the id of the message that starts the thread.
 
-    Pointer doubling: each round a message skips to its pointer's pointer, so a thread of
-    depth d needs log2(d) rounds. Only messages that have not met a root take part, and
-    only they are written again; each round's table cuts the lineage. A popular parent is a
-    hot join key, which the join handles apart.
+def reply_components(messages: DataFrame, use_responses: bool = True) -> DataFrame:
+    """``tweet_id, component_id``: connected components of reply links, named by the message that starts the thread.
 
-    A round that settles nobody shows that only cycles are left. Their messages keep
-    doubling until each pointer has gone all the way round, and take the lowest id there.
+    All links are followed at once, in either direction. ``use_responses=False`` follows only what each message answers; by default the
+    response lists are links as well. A component of several threads takes the lowest start; where no
+    message starts a thread, since the links go round, it takes the lowest id on the cycle. A message without links is a component of its own.
     """
-    links = parent_links(messages, use_responses, hot_rows)
-    first = materialize(
-        links.select(
-            "tweet_id",
-            F.coalesce("parent", "tweet_id").alias("pointer"),
-            F.coalesce("parent", "tweet_id").alias("lowest"),
-            F.col("parent").isNull().alias("settled"),
-        ),
-        "components",
-    )
-    settled, moving = first.where("settled"), first.where("NOT settled")
-    left, done, limit = moving.count(), 0, None
-    while left and (limit is None or done < limit):
-        ahead = settled.unionByName(moving).select(
-            F.col("tweet_id").alias("pointer"),
-            F.col("pointer").alias("next_pointer"),
-            F.col("lowest").alias("next_lowest"),
-            F.col("settled").alias("next_settled"),
-        )
-        moved = materialize(
-            skewed_join(moving, ahead, "pointer", hot_rows=hot_rows).select(
-                "tweet_id",
-                F.col("next_pointer").alias("pointer"),
-                F.least("lowest", "next_lowest").alias("lowest"),
-                F.col("next_settled").alias("settled"),
-            ),
-            "components",
-        )
-        settled = settled.unionByName(moved.where("settled"))
-        moving, before, done = moved.where("NOT settled"), left, done + 1
-        left = moving.count()
-        if left == before:
-            limit = left.bit_length() + 1
-    result = settled.select("tweet_id", F.col("pointer").alias("component_id"))
-    if left:
-        on_cycle = moving.select(
-            F.col("tweet_id").alias("pointer"), F.col("lowest").alias("component_id")
-        )
-        result = result.unionByName(
-            moving.join(on_cycle, "pointer").select("tweet_id", "component_id")
-        )
-    return result
+    links = materialize(parent_links(messages, use_responses), "parents")
+    ends = links.where("parent IS NOT NULL").select(F.col("tweet_id").alias("a"), F.col("parent").alias("b"))
+    if use_responses:
+        known = messages.select(F.col("tweet_id").alias("child")).distinct()
+        listed = skewed_join(response_links(messages), known, "child", "left_semi")
+        ends = ends.unionByName(listed.select(F.col("by").alias("a"), F.col("child").alias("b")))
+    stars = contract(ends).withColumnRenamed("node", "tweet_id")
+    placed = links.join(stars, "tweet_id", "left").select("tweet_id", "parent", F.coalesce("lowest", "tweet_id").alias("lowest"))
+    placed = materialize(placed, "components")
+    start = F.min(F.when(F.col("parent").isNull(), F.col("tweet_id")))
+    names = materialize(placed.groupBy("lowest").agg(start.alias("name")), "names")
+    found = names.where("name IS NOT NULL")
+    if not names.where("name IS NULL").isEmpty():
+        around = placed.join(names.where("name IS NULL").select("lowest"), "lowest")
+        found = found.unionByName(_cycle_names(around.select("tweet_id", "parent"), around.select("tweet_id", "lowest")))
+    return skewed_join(placed, found, "lowest").select("tweet_id", F.col("name").alias("component_id"))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseflow.functions import text as t
 from caseflow.functions.packs import TAXONOMY
 from caseflow.functions.rules import Taxonomy
 from caseflow.operators.joins import skewed_join
-from caseflow.operators.ranks import HOT_ROWS, ordered_position
+from caseflow.operators.ranks import ordered_position
+from caseflow.session import materialize
 
 TRAIN_SPLIT = "train_retrieval"
 
@@ -24,94 +25,93 @@ def attach_components(messages: DataFrame, components: DataFrame) -> DataFrame:
     return messages.join(components, "tweet_id")
 
 
+def _bad_text() -> Column:
+    return F.col("text").isNull() | t.is_blank(F.col("text"))
+
+
+def _bad_time() -> Column:
+    return ~_bad_text() & parse_created_at(F.col("created_at")).isNull()
+
+
 def component_flags(messages: DataFrame, brand: Column) -> DataFrame:
-    """What rules 1 to 3 ask of a component, in one aggregate.
+    """What all rules ask of a component, in one aggregate: ``stage`` is the first of rules 1 to 3 that drops it, or 9.
 
     Authors beyond the first are told by min and max, so no set of authors is kept and
-    the whole aggregate combines on the map side.
+    the whole aggregate combines on the map side. ``bad_texts`` and ``bad_times`` are the rows for rules 4 and 5.
     """
     outbound = ~F.col("inbound")
     author = F.when(outbound, F.col("author_id"))
-    return messages.groupBy("component_id").agg(
+    found = messages.groupBy("component_id").agg(
         F.coalesce(F.bool_or(outbound & (F.col("author_id") == brand)), F.lit(False)).alias("has_brand"),
         F.coalesce(F.bool_or("inbound"), F.lit(False)).alias("has_customer"),
         (F.min(author) == F.max(author)).alias("one_brand"),
         F.count("*").alias("rows"),
+        F.count_if(_bad_text()).alias("bad_texts"),
+        F.count_if(_bad_time()).alias("bad_times"),
     )
+    stage = (
+        F.when(~F.col("has_brand"), 1).when(~F.col("has_customer"), 2)
+        .when(~F.coalesce("one_brand", F.lit(False)), 3).otherwise(9)
+    )
+    return found.withColumn("stage", stage)
 
 
-def kept_components(flags: DataFrame) -> DataFrame:
-    return flags.where("has_brand AND has_customer AND one_brand").select("component_id")
+def build_conversations(messages: DataFrame, brand: Column) -> DataFrame:
+    """Rules 1 to 5, then the 0-based turn within the component by time and id."""
+    return build_with_accounting(messages, brand)[0]
 
 
-def build_conversations(
-    messages: DataFrame, brand: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rules 1 to 5, then the 0-based turn within the component by time and id."""
-    keep = kept_components(component_flags(messages, brand))
-    rows = (
-        skewed_join(messages, keep, "component_id", "left_semi", hot_rows)
-        .withColumn("created_at", parse_created_at(F.col("created_at")))
-        .where(F.col("text").isNotNull() & ~t.is_blank(F.col("text")))
-        .where(F.col("created_at").isNotNull())
-        .select("tweet_id", "component_id", "author_id", "inbound", "created_at", "text")
+def build_with_accounting(messages: DataFrame, brand: Column) -> tuple[DataFrame, DataFrame]:
+    """Conversations, and what each rule dropped on the way.
+
+    Two passes of the messages: one aggregate a component, and one that writes the kept rows. Rows that rules 4 and 5
+    drop are counted by an observation while they are written.
+    """
+    flags = materialize(component_flags(messages, brand), "components")
+    keep = flags.where("stage = 9").select("component_id")
+    sizes = flags.select("component_id", F.col("rows").alias("_n"))
+    rows = skewed_join(messages, keep, "component_id", "left_semi", counts=sizes)
+    seen = Observation()
+    observed = rows.observe(
+        seen, F.count_if(_bad_text()).alias("bad_texts"), F.count_if(_bad_time()).alias("bad_times"), F.count("*").alias("rows")
     )
-    return turn_index(rows, hot_rows)
+    kept = observed.where(~_bad_text()).withColumn("created_at", parse_created_at(F.col("created_at"))).where("created_at IS NOT NULL")
+    kept = materialize(kept.select("tweet_id", "component_id", "author_id", "inbound", "created_at", "text"), "conversations")
+    found = seen.get
+    texts, times, total = (found.get(c, 0) for c in ("bad_texts", "bad_times", "rows"))
+    return turn_index(kept), _accounting(flags, F.lit(texts), F.lit(times), F.lit(total - texts - times))
 
 
-def turn_index(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    hour = F.floor(F.unix_timestamp("created_at") / 3600)
-    return ordered_position(
-        rows, "component_id", ["created_at", "tweet_id"], hour, "turn_index", hot_rows
-    ).withColumn("turn_index", F.col("turn_index").cast("long"))
+def turn_index(rows: DataFrame) -> DataFrame:
+    numbered = ordered_position(rows, "component_id", ["created_at", "tweet_id"], "turn_index")
+    return numbered.withColumn("turn_index", F.col("turn_index").cast("long"))
 
 
-def drop_accounting(messages: DataFrame, brand: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``rule, dropped_components, dropped_rows, kept_components, kept_rows`` per rule.
+def drop_accounting(messages: DataFrame, brand: Column) -> DataFrame:
+    """``rule, dropped_components, dropped_rows, kept_components, kept_rows`` per rule, from one pass.
 
     The rules run in order: each counts only what the earlier ones left.
     """
-    flags = component_flags(messages, brand)
-    staged = flags.select(
-        "component_id",
-        F.when(~F.col("has_brand"), 1)
-        .when(~F.col("has_customer"), 2)
-        .when(~F.coalesce("one_brand", F.lit(False)), 3)
-        .otherwise(9).alias("component_stage"),
-    )
-    is_null = F.col("text").isNull()
-    rows = skewed_join(messages, staged, "component_id", hot_rows=hot_rows).select(
-        "component_id",
-        F.when(F.col("component_stage") < 9, F.col("component_stage"))
-        .when(is_null | t.is_blank(F.col("text")), 4)
-        .when(parse_created_at(F.col("created_at")).isNull(), 5)
-        .otherwise(9).alias("stage"),
-    )
-    per_component = rows.groupBy("component_id").agg(
-        *[F.count_if(F.col("stage") == s).alias(f"n{s}") for s in (1, 2, 3, 4, 5, 9)],
-    )
-    sums = {s: F.sum(f"n{s}") for s in (1, 2, 3, 4, 5, 9)}
-    alive = {
-        "r1": F.count_if(F.expr("n1 = 0")),
-        "r2": F.count_if(F.expr("n1 = 0 AND n2 = 0")),
-        "r3": F.count_if(F.expr("n1 = 0 AND n2 = 0 AND n3 = 0")),
-        "r4": F.count_if(F.expr("n5 + n9 > 0")),
-        "r5": F.count_if(F.expr("n9 > 0")),
-    }
-    totals = per_component.agg(
-        F.count("*").alias("c0"), *[c.alias(k) for k, c in alive.items()],
-        *[F.coalesce(c, F.lit(0)).alias(f"d{s}") for s, c in sums.items()],
+    kept = F.col("stage") == 9
+    texts, times = (F.coalesce(F.sum(F.when(kept, F.col(c))), F.lit(0)) for c in ("bad_texts", "bad_times"))
+    rest = F.coalesce(F.sum(F.when(kept, F.col("rows") - F.col("bad_texts") - F.col("bad_times"))), F.lit(0))
+    return _accounting(component_flags(messages, brand), texts, times, rest)
+
+
+def _accounting(flags: DataFrame, bad_texts: Column, bad_times: Column, kept_rows: Column) -> DataFrame:
+    stage, left = F.col("stage"), F.col("rows") - F.col("bad_texts")
+    dropped = [F.coalesce(F.sum(F.when(stage == s, F.col("rows"))), F.lit(0)) for s in (1, 2, 3)] + [bad_texts, bad_times]
+    alive = [F.count("*"), *[F.count_if(stage > s) for s in (1, 2, 3)]]
+    alive += [F.count_if((stage == 9) & (left > 0)), F.count_if((stage == 9) & (left > F.col("bad_times")))]
+    totals = flags.agg(
+        *[c.alias(f"c{k}") for k, c in enumerate(alive)],
+        *[c.cast("long").alias(f"d{k}") for k, c in enumerate(dropped, 1)], kept_rows.cast("long").alias("d9"),
     )
     names = ["R1 brand reply", "R2 customer message", "R3 single brand", "R4 text", "R5 time"]
-    kept_rows = ["d2+d3+d4+d5+d9", "d3+d4+d5+d9", "d4+d5+d9", "d5+d9", "d9"]
-    steps = ["c0", "r1", "r2", "r3", "r4", "r5"]
-    entries = ", ".join(
-        f"'{names[i]}', {steps[i]} - {steps[i + 1]}, d{i + 1}, {steps[i + 1]}, {kept_rows[i]}"
-        for i in range(5)
-    )
+    later = ["d2+d3+d4+d5+d9", "d3+d4+d5+d9", "d4+d5+d9", "d5+d9", "d9"]
+    entries = ", ".join(f"'{names[i]}', c{i} - c{i + 1}, d{i + 1}, c{i + 1}, {later[i]}" for i in range(5))
     return totals.selectExpr(
-        f"stack(5, {entries}) AS "
-        "(rule, dropped_components, dropped_rows, kept_components, kept_rows)"
+        f"stack(5, {entries}) AS (rule, dropped_components, dropped_rows, kept_components, kept_rows)"
     )
 
 

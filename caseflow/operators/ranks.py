@@ -11,44 +11,48 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseflow.functions import text as t
+from caseflow.session import materialize
 
-HOT_ROWS = 2_000_000
 
+def _ranges(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """``df`` cut into ranges of about equally many rows in an order, stored, with the range's number in ``_part``.
+
+    Rows that are equal in the whole order stand in one range, so the order should end in an id.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+    return materialize(cut.withColumn("_mid", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()), "ranges")
 
-def ordered_position(
-    df: DataFrame,
-    key: str,
-    order_by: list[str],
-    chunk: Column,
-    output: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """0-based position of each row within its key.
 
-    ``chunk`` must never fall as the rows advance in ``order_by`` (an hour number for a
-    timestamp). Keys with more than ``hot_rows`` rows are ranked chunk by chunk, each
-    chunk shifted by the rows in earlier chunks; other keys form one chunk. The list of
-    hot keys is broadcast: n rows hold at most n / hot_rows of them, so 10^12 rows give
-    500,000 numbers.
+def numbered(df: DataFrame, order_by: list[str], output: str) -> DataFrame:
+    """0-based number of each row in the order of the whole table.
+
+    A row's number is its place in its range after the rows of earlier ranges; one number a range is broadcast.
     """
-    hot = (
-        df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    parts = df.join(F.broadcast(hot), key, "left").withColumn(
-        "_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0)).cast("long")
-    )
-    before = W.partitionBy(key).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    shift = (
-        parts.where("_hot").groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
-        .select(key, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    )
-    within = W.partitionBy(key, "_chunk").orderBy(*order_by)
+    placed = _ranges(df, order_by)
+    before = W.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row a range
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
+    starts = starts.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_mid") - F.col("_first") + F.col("_before")
+    return placed.join(F.broadcast(starts), "_part").withColumn(output, number).drop("_part", "_mid", "_first", "_before")
+
+
+def ordered_position(df: DataFrame, key: str, order_by: list[str], output: str) -> DataFrame:
+    """0-based position of each row within its key, in an order that ends in an id.
+
+    The table is cut into ranges of key and order, so a key with many rows stands in several ranges, however its
+    rows are ordered. Rows are numbered within their range; a key that goes on from an earlier range adds its rows there.
+    At most one key goes on across each border, so these shifts are fewer than the ranges, and are broadcast.
+    """
+    placed = _ranges(df, [key, *order_by]).drop("_mid")
+    before = W.partitionBy("_k").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    sizes = placed.groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
+    shift = sizes.select("_k", "_p", F.sum("_n").over(before).alias("_shift")).where("_shift > 0")
+    within = W.partitionBy("_part", key).orderBy(*order_by)
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_part") == F.col("_p"))
     return (
-        parts.withColumn("_rn", F.row_number().over(within))
-        .join(shift, [key, "_chunk"], "left")
-        .withColumn(output, F.col("_rn") - 1 + F.coalesce("_shift", F.lit(0)))
-        .drop("_hot", "_chunk", "_rn", "_shift")
+        placed.withColumn("_rn", F.row_number().over(within)).join(F.broadcast(shift), same, "left")
+        .withColumn(output, F.col("_rn") - 1 + F.coalesce("_shift", F.lit(0))).drop("_part", "_rn", "_k", "_p", "_shift")
     )
 
 

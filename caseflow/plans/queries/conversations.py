@@ -22,14 +22,19 @@ def attach_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = conv.build_conversations(standin.with_components(spark, sf_dir), F.lit(BRAND))
+    built = conv.build_conversations(standin.flawed_messages(spark, sf_dir), F.lit(BRAND))
     return built.select(
         "tweet_id", "component_id", "author_id", "inbound", F.unix_timestamp("created_at").alias("sent"), "turn_index"
     )
 
 
 def drop_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conv.drop_accounting(standin.with_components(spark, sf_dir), F.lit(BRAND))
+    return conv.drop_accounting(standin.flawed_messages(spark, sf_dir), F.lit(BRAND))
+
+
+def build_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same accounts, taken while the conversations are written."""
+    return conv.build_with_accounting(standin.flawed_messages(spark, sf_dir), F.lit(BRAND))[1]
 
 
 def turn_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,14 +78,27 @@ def validation_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    reply_components, attach_components, build_conversations, drop_accounting, turn_index, first_inbound,
+    reply_components, attach_components, build_conversations, drop_accounting, build_accounting, turn_index,
+    first_inbound,
     first_reply, component_sizes, resolution_pairs, corpus_intents, training_set, validation_set,
 )}
 
-_KEPT = f"""flags AS (
+_KEPT = f"""raw_f AS (
+  SELECT component_id, tweet_id, author_id, inbound, sent, tweet_id % 41 = 0 OR tweet_id % 43 = 0 OR trim(text) = '' OR text IS NULL AS bad_text,
+         tweet_id % 47 = 0 AS bad_time FROM raw),
+flags AS (
   SELECT component_id, bool_or(NOT inbound AND author_id = '{BRAND}') AS has_brand, bool_or(inbound) AS has_customer,
          count(DISTINCT CASE WHEN NOT inbound THEN author_id END) = 1 AS one_brand FROM raw GROUP BY 1)"""
 
+_ACCOUNTS = f"""WITH {base.MSG}, {_KEPT},
+    x AS (SELECT component_id, CASE WHEN NOT has_brand THEN 1 WHEN NOT has_customer THEN 2 WHEN NOT one_brand THEN 3
+                 WHEN bad_text THEN 4 WHEN bad_time THEN 5 ELSE 9 END AS s FROM raw_f JOIN flags USING (component_id)),
+    v(rule, k) AS (VALUES ('R1 brand reply', 1), ('R2 customer message', 2), ('R3 single brand', 3), ('R4 text', 4), ('R5 time', 5)),
+    left_ AS (SELECT rule, k, count(DISTINCT component_id) FILTER (s > k) AS kept_components, count(*) FILTER (s > k) AS kept_rows,
+                     count(DISTINCT component_id) FILTER (s >= k) - count(DISTINCT component_id) FILTER (s > k) AS dropped_components,
+                     count(*) FILTER (s = k) AS dropped_rows FROM x, v GROUP BY rule, k)
+    SELECT rule, dropped_components, dropped_rows, kept_components, kept_rows FROM left_"""
+
 
 def _labelled(split: str) -> str:
     return f"""WITH {base.ASSIGN} SELECT component_id, tweet_id, s.heuristic_intent,
@@ -97,16 +115,11 @@ ORACLES = {
           OVER (PARTITION BY component_id ORDER BY tweet_id) AS component_id FROM r""",
     "attach_components": f"WITH {base.MSG} SELECT tweet_id, component_id, author_id FROM raw",
     "build_conversations": f"""WITH {base.MSG}, {_KEPT}
-        SELECT tweet_id, component_id, author_id, inbound, sent, turn_index FROM msg JOIN flags USING (component_id)
-        WHERE has_brand AND has_customer AND one_brand""",
-    "drop_accounting": f"""WITH {base.MSG}, {_KEPT},
-        st AS (SELECT component_id, CASE WHEN NOT has_brand THEN 1 WHEN NOT has_customer THEN 2 WHEN NOT one_brand THEN 3
-               ELSE 9 END AS s FROM flags),
-        x AS (SELECT r.component_id, st.s FROM raw r JOIN st USING (component_id))
-        SELECT rule, count(DISTINCT component_id) FILTER (s = k) AS dropped_components, count(*) FILTER (s = k) AS dropped_rows,
-               count(DISTINCT component_id) FILTER (s > k) AS kept_components, count(*) FILTER (s > k) AS kept_rows
-        FROM x, (VALUES ('R1 brand reply', 1), ('R2 customer message', 2), ('R3 single brand', 3), ('R4 text', 4),
-                 ('R5 time', 5)) v(rule, k) GROUP BY rule, k""",
+        SELECT tweet_id, component_id, author_id, inbound, sent,
+               row_number() OVER (PARTITION BY component_id ORDER BY sent, tweet_id) - 1 AS turn_index
+        FROM raw_f JOIN flags USING (component_id) WHERE has_brand AND has_customer AND one_brand AND NOT bad_text AND NOT bad_time""",
+    "drop_accounting": _ACCOUNTS,
+    "build_accounting": _ACCOUNTS,
     "turn_index": f"WITH {base.MSG} SELECT tweet_id, component_id, turn_index FROM msg",
     "first_inbound": f"WITH {base.MSG} SELECT component_id, tweet_id, turn_index, text FROM first_in",
     "first_reply": f"""WITH {base.MSG} SELECT component_id, tweet_id, turn_index, author_id, text FROM msg

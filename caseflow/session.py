@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,19 +26,25 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     )
 
 
+# Folders of sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``.
 
     A cluster names a folder that every executor sees. Only a local master, where all
-    tasks share one machine, may fall back to a temporary folder.
+    tasks share one machine, may fall back to a temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="caseflow-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="caseflow-checkpoint-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

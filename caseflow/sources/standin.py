@@ -62,3 +62,12 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages with their component, as the brand and conversation jobs read them."""
     return messages_raw(spark, sf_dir).withColumn("component_id", F.floor(F.col("tweet_id") / 1000))
+
+
+def flawed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with components, where some texts are null or blank and some dates cannot be read."""
+    n = F.col("tweet_id")
+    return with_components(spark, sf_dir).withColumns({
+        "text": F.when(n % 41 != 0, F.when(n % 43 == 0, F.lit(" \t ")).otherwise(F.col("text"))),
+        "created_at": F.when(n % 47 == 0, F.lit("yesterday")).otherwise(F.col("created_at")),
+    })

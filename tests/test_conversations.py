@@ -29,21 +29,47 @@ def test_rules_and_turns(spark):
     built = conv.build_conversations(raw(spark, ROWS), F.lit("us")).orderBy("component_id", "turn_index").collect()
     want = [(1, 1, 0), (1, 2, 1), (1, 3, 2), (5, 43, 0)]
     assert [(r.component_id, r.tweet_id, r.turn_index) for r in built] == want
-    hot = conv.build_conversations(raw(spark, ROWS), F.lit("us"), hot_rows=2)
-    assert sorted((r.component_id, r.tweet_id, r.turn_index) for r in hot.collect()) == want
 
 
 def test_drop_accounting(spark):
-    table = {r.rule[:2]: tuple(r)[1:] for r in conv.drop_accounting(raw(spark, ROWS), F.lit("us")).collect()}
-    assert table == {"R1": (1, 2, 4, 11), "R2": (1, 1, 3, 10), "R3": (1, 3, 2, 7), "R4": (0, 2, 2, 5), "R5": (0, 1, 2, 4)}
+    want = {"R1": (1, 2, 4, 11), "R2": (1, 1, 3, 10), "R3": (1, 3, 2, 7), "R4": (0, 2, 2, 5), "R5": (0, 1, 2, 4)}
+    counted = conv.drop_accounting(raw(spark, ROWS), F.lit("us"))
+    observed = conv.build_with_accounting(raw(spark, ROWS), F.lit("us"))[1]
+    for table in (counted, observed):
+        assert {r.rule[:2]: tuple(r)[1:] for r in table.collect()} == want
+    lost = raw(spark, [r for r in ROWS if r[1] != 5] + [(40, 5, "c5", True, 0, None), (41, 5, "us", False, "never", "a")])
+    for table in (conv.drop_accounting(lost, F.lit("us")), conv.build_with_accounting(lost, F.lit("us"))[1]):
+        assert [tuple(r)[1:] for r in table.collect()][3:] == [(0, 1, 2, 4), (1, 1, 1, 3)]
+    for table in (conv.drop_accounting(lost.limit(0), F.lit("us")), conv.build_with_accounting(lost.limit(0), F.lit("us"))[1]):
+        assert {tuple(r)[1:] for r in table.collect()} == {(0, 0, 0, 0)}
 
 
-def test_hot_components_get_the_same_turns(spark):
-    rows = [(i, 1 if i % 3 else i, "a", True, i % 60, f"t{i}") for i in range(300)]
-    timed = raw(spark, rows).withColumn("created_at", F.timestamp_seconds((F.col("tweet_id") * 7919 % 300) * 1800))
-    plain = {r.tweet_id: r.turn_index for r in conv.turn_index(timed).collect()}
-    hot = {r.tweet_id: r.turn_index for r in conv.turn_index(timed, hot_rows=20).collect()}
-    assert plain == hot and max(plain.values()) == 199
+def scans(df):
+    return str(df._jdf.queryExecution().executedPlan()).count("FileScan")
+
+
+def test_conversations_read_the_messages_twice(spark, tmp_path):
+    raw(spark, ROWS).write.parquet(f"{tmp_path}/raw")
+    stored = spark.read.parquet(f"{tmp_path}/raw")
+    assert scans(conv.drop_accounting(stored, F.lit("us"))) == 1
+    assert scans(conv.build_conversations(stored, F.lit("us"))) <= 3
+
+
+def test_a_burst_is_numbered_in_many_ranges(spark):
+    """One component with one timestamp goes to all tasks and gets the same turns as a plain window."""
+    rows = [(i, 1 if i % 3 else i, "a", True, 7, f"t{i}") for i in range(600)]
+    timed = raw(spark, rows).withColumn("created_at", F.timestamp_seconds(F.lit(1_500_000_000)))
+    parts = ranks._ranges(timed, ["component_id", "created_at", "tweet_id"]).where("component_id = 1")
+    assert parts.select("_part").distinct().count() >= 3
+    found = {r.tweet_id: r.turn_index for r in conv.turn_index(timed).collect()}
+    assert found == {i: (k if i % 3 else 0) for i in range(600) for k in [sum(1 for j in range(i) if j % 3)]}
+
+
+def test_numbered_rows(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") * 7919 % 13).alias("v"), F.lit("x").alias("_n"))
+    found = ranks.numbered(df, ["v", "id"], "place").collect()
+    assert [r.place for r in sorted(found, key=lambda r: (r.v, r.id))] == list(range(1000))
+    assert ranks.numbered(df.limit(0), ["v", "id"], "place").collect() == []
 
 
 def test_hashed_position_and_top_n(spark):
@@ -72,16 +98,15 @@ def test_components(spark):
     want = {i: 100 for i in range(100, 137)} | {1: 1, 2: 1, 3: 1, 4: 1} | {50: 50, 51: 50}
     want |= {60: 60, 61: 60, 62: 60} | {i: 70 for i in (68, 69, 70, 71, 72)}
     assert got == want
-    split = components.reply_components(links(spark, chain + tree + orphan + named + cycle), hot_rows=1)
-    assert {r.tweet_id: r.component_id for r in split.collect()} == want
 
 
 def test_hot_keys_change_no_join(spark):
     rows = spark.createDataFrame([(i, 0 if i < 50 else i) for i in range(70)], "id long, k long")
     table = spark.createDataFrame([(0, "a"), (0, "b"), (55, "c")], "k long, v string")
-    for how in ("inner", "left", "left_semi"):
+    for how in ("inner", "left", "left_semi", "left_anti"):
         plain = sorted(map(str, rows.join(table, "k", how).collect()))
-        assert sorted(map(str, skewed_join(rows, table, "k", how, hot_rows=10).collect())) == plain
+        for salts in (1, 7):
+            assert sorted(map(str, skewed_join(rows, table, "k", how, salts).collect())) == plain
 
 
 def test_resolution_pairs(spark):
@@ -112,3 +137,29 @@ def test_all_reply_links_join(spark):
     assert found == {1: 1, 3: 1, 10: 10, 11: 10, 12: 10, 20: 20, 21: 20, 22: 20, **{k: 30 for k in (30, 31, 32, 33, 40, 41)}}
     alone = {r["tweet_id"]: r["component_id"] for r in components.reply_components(messages, use_responses=False).collect()}
     assert alone == {k: {22: 21, 41: 40}.get(k, k) for k, _, _ in rows}
+
+
+def test_contraction_of_chains_hubs_and_rings(spark):
+    chain = [(i, i + 1) for i in range(0, 300)]
+    hub = [(1000, 2000 + i) for i in range(300)] + [(2000, 2000)]
+    ring = [(5000 + i, 5000 + (i * 7 + 7) % 50) for i in range(50)] + [(5003, 4999)]
+    found = components.contract(spark.createDataFrame(chain + hub + ring, "a long, b long"))
+    names = {r.node: r.lowest for r in found.collect()}
+    want = {i: 0 for i in range(301)} | {1000: 1000} | {2000 + i: 1000 for i in range(300)}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in ring:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    want |= {x: root(x) for a, b in ring if a != b for x in (a, b)}
+    assert names == want and found.count() == len(want)
+
+
+def test_components_of_an_empty_table(spark):
+    assert components.reply_components(links(spark, [])).collect() == []
+    assert [tuple(r) for r in components.reply_components(links(spark, [(5, 5, "5, x")])).collect()] == [(5, 5)]

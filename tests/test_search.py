@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseflow import schemas
 from caseflow.operators import features as fx
-from caseflow.operators import retrieval
+from caseflow.operators import postings, retrieval
 
 CASES = {
     "case_1": ("my parcel is late again today", "Delivery Issue"),
@@ -90,18 +90,67 @@ def test_matches_brute_force(spark, index):
     assert got["q2"] == [("case_1", 0.0), ("case_2", 0.0), ("case_3", 0.0)]        # zero fill
 
 
-def test_batches_and_blocks_change_nothing(spark, index, monkeypatch):
+def test_blocks_and_chunks_change_nothing(spark, index, monkeypatch):
     whole = search(spark, index)
-    assert search(spark, index, block_queries=2, block_cases=2) == whole
-    monkeypatch.setattr(retrieval, "BLOCK_SCORES", 7)
-    monkeypatch.setattr(retrieval, "BLOCK_PRODUCTS", 11)
-    assert search(spark, index) == whole
+    for block, chunk in ((1, 1), (2, 10), (4, 10**6)):
+        monkeypatch.setattr(postings, "BLOCK", block)
+        monkeypatch.setattr(postings, "CHUNK_POSTINGS", chunk)
+        rows = [(k, i, x, x, "reply " + k, label) for i, (k, (x, label)) in enumerate(CASES.items())]
+        cut = retrieval.fit_index(spark.createDataFrame(rows, schemas.CORPUS), WORDS, CHARS)
+        assert cut.members.count() == -(-len(CASES) // block) and search(spark, cut) == whole
+
+
+def test_bounds_skip_blocks_and_lose_nothing():
+    """Random sparse cases: the same best cases as a full product, with blocks left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    n, terms, k = 4000, 300, 3
+    topic = np.sort(rng.integers(0, 30, n))
+    weights = np.zeros((n, terms))
+    for c in range(n):
+        own = np.concatenate([topic[c] * 8 + rng.integers(0, 8, 5), 240 + rng.integers(0, 60, 3)])
+        weights[c, own] = rng.random(8)
+    weights /= np.linalg.norm(weights, axis=1)[:, None]
+    intents = [f"i{x % 4}" for x in topic]
+    rows, members = [], []
+    for b in range(-(-n // postings.BLOCK)):
+        part = weights[b * postings.BLOCK : (b + 1) * postings.BLOCK]
+        members.append((b, list(range(b * postings.BLOCK, b * postings.BLOCK + len(part))), intents[b * postings.BLOCK :][: len(part)]))
+        for t in np.flatnonzero(part.any(axis=0)):
+            slots = [int(s) for s in np.argsort(-part[:, t], kind="stable") if part[s, t] > 0]
+            rows.append((b, int(t), float(part[:, t].max()), slots, [float(part[s, t]) for s in slots]))
+    columns = [pa.array(x) for x in zip(*rows)]
+    table = pa.table([columns[0], columns[1], columns[2], columns[3], columns[4]], ["block", "term", "top", "slots", "weights"])
+    chunk = postings.Chunk(table, pa.table([pa.array(x) for x in zip(*members)], ["block", "numbers", "intents"]))
+    kind, visited = np.arange(terms) % 2, 0
+    for q in range(0, n, 200):
+        own = np.flatnonzero(weights[q])
+        lex, sem = (weights[:, own[kind[own] == x]] @ weights[q, own[kind[own] == x]] for x in (0, 1))
+        wanted = "i1" if q % 400 else None
+        score = 0.45 * lex + 0.55 * sem + 0.15 * sem * (np.array(intents) == wanted)
+        want = sorted(range(n), key=lambda c: (-round(score[c], 9), c))[:k]
+        held = [(0.0, 0.0, 0.0, c) for c in range(k)]
+        found, blocks = chunk.search(own, weights[q, own], wanted, held, k, 0.45, 0.55, 0.15)
+        assert [r[3] for r in found] == want and [round(r[0], 9) for r in found] == [round(score[c], 9) for c in want]
+        visited += blocks
+    assert visited < 0.7 * 20 * chunk.n_blocks
 
 
 def test_saved_index(spark, index, tmp_path):
     retrieval.save_index(index, str(tmp_path / "index"))
     loaded = retrieval.load_index(spark, str(tmp_path / "index"))
     assert search(spark, loaded) == search(spark, index)
+    plan = loaded.postings.where("chunk = 0")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "PartitionFilters: [isnotnull(chunk" in plan
+
+
+def test_equal_texts_are_searched_once(spark, index):
+    texts = spark.createDataFrame([(str(i), "late parcel" if i % 3 else f"broken kettle {i}") for i in range(60)], "q_id string, text string")
+    found = retrieval.topk(texts, index, 2)
+    same = {(r.rank, r.case_id, r.score) for r in found.collect() if int(r.q_id) % 3}
+    assert found.count() == 120 and len(same) == 2
 
 
 def test_metrics_count_missing_queries(spark):
