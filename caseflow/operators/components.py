@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.operators.joins import skewed_join
@@ -37,12 +37,11 @@ def response_links(messages: DataFrame) -> DataFrame:
     return listed.select("by", F.expr("try_cast(child AS BIGINT)").alias("child")).where("child IS NOT NULL AND child <> by")
 
 
-def _stored(links: DataFrame) -> tuple[DataFrame, tuple]:
-    """Links written once, with their number and a sum of their hashes, taken while they are written."""
-    seen = Observation()
-    observed = links.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)")).alias("h"))
-    stored = materialize(observed, "links")
-    return stored, (seen.get.get("n"), seen.get.get("h"))
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every higher end has one lower end, and no end is both."""
+    if not links.groupBy("high").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return False
+    return links.join(links.select(F.col("high").alias("low")), "low", "left_semi").isEmpty()
 
 
 def contract(links: DataFrame) -> DataFrame:
@@ -50,23 +49,21 @@ def contract(links: DataFrame) -> DataFrame:
 
     Alternates two steps until the links are stars. A large-star step ties the higher neighbours of every node to the
     lowest one beside it, a small-star step does so with the lower neighbours; a chain or hub of n nodes takes in the order of
-    log(n) rounds. The joins spread hubs.
+    log(n) rounds. Minima combine on the map side and are stored before they are joined, so that a hub's links meet
+    a plain table and adaptive execution can split them.
     """
     ends = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
-    stored, state = _stored(ends)
-    before = None
-    while state != before:
-        before = state
-        both = stored.unionByName(stored.select(F.col("low").alias("high"), F.col("high").alias("low")))
-        both = both.select(F.col("high").alias("node"), F.col("low").alias("beside"))
+    stored = materialize(ends, "links")
+    while not _are_stars(stored):
+        both = stored.select(F.col("high").alias("node"), F.col("low").alias("beside"))
+        both = both.unionByName(stored.select(F.col("low").alias("node"), F.col("high").alias("beside")))
         least = materialize(both.groupBy("node").agg(F.least(F.col("node"), F.min("beside")).alias("least")), "least")
-        large = skewed_join(both.where("beside > node"), least, "node").select(F.col("beside").alias("high"), F.col("least").alias("low"))
+        large = both.where("beside > node").join(least, "node").select(F.col("beside").alias("high"), F.col("least").alias("low"))
         large = materialize(large.distinct(), "links")
-        least = large.groupBy("high").agg(F.min("low").alias("least"))
-        met = skewed_join(large, least, "high")
-        moved = met.select("high", F.col("least").alias("low"))
+        least = materialize(large.groupBy("high").agg(F.min("low").alias("least")), "least")
+        met = large.join(least, "high")
         rest = met.where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
-        stored, state = _stored(moved.unionByName(rest).distinct())
+        stored = materialize(least.withColumnRenamed("least", "low").unionByName(rest).distinct(), "links")
     stars = stored.select(F.col("high").alias("node"), F.col("low").alias("lowest"))
     return stars.unionByName(stars.select(F.col("lowest").alias("node"), "lowest").distinct())
 

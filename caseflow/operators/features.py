@@ -112,8 +112,13 @@ def char_ngrams(words: DataFrame, keep: list[str], low: int, high: int) -> DataF
 
 
 def term_counts(docs: DataFrame, row_id: str, text: str, spec: TermSpec, by: tuple[str, ...] = ()) -> DataFrame:
-    """``by..., row_id, term, tf``, one row per document and term."""
-    placed = docs.select(*by, row_id, text).repartition(F.col(row_id))
+    """``by..., row_id, term, tf``, one row per document and term.
+
+    The number of partitions is the session's: cutting up texts costs far more than their bytes suggest, so
+    adaptive execution must not merge them by size.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = docs.select(*by, row_id, text).repartition(parts, F.col(row_id))
     if spec.kind == "word":
         split = placed.select(*by, row_id, tokens(F.col(text), spec).alias("toks"))
         terms = split.select(*by, row_id, F.explode(word_ngrams(F.col("toks"), spec.low, spec.high)).alias("term"))

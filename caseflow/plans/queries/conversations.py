@@ -13,7 +13,7 @@ BRAND = "brand_3"
 
 
 def reply_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components.reply_components(standin.messages_raw(spark, sf_dir))
+    return components.reply_components(standin.linked_messages(spark, sf_dir))
 
 
 def attach_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,11 +108,20 @@ def _labelled(split: str) -> str:
 
 
 ORACLES = {
-    "reply_components": f"""WITH {base.MSG}, r AS (
-        SELECT a.tweet_id, a.component_id, b.tweet_id IS NULL AS starts
-        FROM raw a LEFT JOIN raw b ON a.parent = b.tweet_id)
-        SELECT tweet_id, max(CASE WHEN starts THEN tweet_id END)
-          OVER (PARTITION BY component_id ORDER BY tweet_id) AS component_id FROM r""",
+    "reply_components": f"""WITH RECURSIVE {base.MSG},
+        l AS (SELECT tweet_id, component_id AS conv, tweet_id % 1000 AS turn, component_id % 5 = 1 AS listed,
+              CASE WHEN component_id % 13 = 5 AND tweet_id % 1000 = 0 THEN tweet_id + 1
+                   WHEN component_id % 11 = 3 AND tweet_id % 1000 = 0 AND tweet_id <> {standin.HUB} THEN {standin.HUB}
+                   WHEN component_id % 5 <> 1 OR component_id % 13 = 5 THEN parent END AS p FROM raw),
+        answers AS (SELECT l.tweet_id, l.p FROM l SEMI JOIN raw ON raw.tweet_id = l.p),
+        lists AS (SELECT l.tweet_id AS by_, x.tweet_id AS child FROM l JOIN raw x ON x.tweet_id IN (l.tweet_id + 1, l.tweet_id + 500) WHERE l.listed),
+        starts AS (SELECT tweet_id FROM raw WHERE tweet_id NOT IN (SELECT tweet_id FROM answers) AND tweet_id NOT IN (SELECT child FROM lists)),
+        rings AS (SELECT a.tweet_id FROM answers a JOIN answers b ON a.p = b.tweet_id AND b.p = a.tweet_id),
+        ends AS (SELECT tweet_id AS a, p AS b FROM answers UNION SELECT p, tweet_id FROM answers UNION
+                 SELECT by_, child FROM lists UNION SELECT child, by_ FROM lists),
+        reach(s, at_) AS (SELECT tweet_id, tweet_id FROM (SELECT tweet_id FROM starts UNION SELECT tweet_id FROM rings) UNION
+                 SELECT s, b FROM reach JOIN ends ON a = at_)
+        SELECT at_ AS tweet_id, coalesce(min(s) FILTER (s IN (SELECT tweet_id FROM starts)), min(s)) AS component_id FROM reach GROUP BY 1""",
     "attach_components": f"WITH {base.MSG} SELECT tweet_id, component_id, author_id FROM raw",
     "build_conversations": f"""WITH {base.MSG}, {_KEPT}
         SELECT tweet_id, component_id, author_id, inbound, sent,

@@ -71,3 +71,23 @@ def flawed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text": F.when(n % 41 != 0, F.when(n % 43 == 0, F.lit(" \t ")).otherwise(F.col("text"))),
         "created_at": F.when(n % 47 == 0, F.lit("yesterday")).otherwise(F.col("created_at")),
     })
+
+
+HUB = 3_000
+
+
+def linked_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages with links of all kinds.
+
+    In every fifth conversation a turn names the next one in its response list, beside one that is not there, and the next
+    one names nothing. The first turns of every eleventh answer one hub. In every thirteenth the first two turns
+    answer each other.
+    """
+    n, conv = F.col("tweet_id"), F.floor(F.col("tweet_id") / 1000)
+    turn, listed = n % 1000, conv % 5 == 1
+    ring, to_hub = (conv % 13 == 5) & (turn == 0), (conv % 11 == 3) & (turn == 0) & (n != HUB)
+    parent = F.when(ring, n + 1).when(to_hub, F.lit(HUB)).when(~listed | (conv % 13 == 5), F.col("in_response_to_tweet_id"))
+    return messages_raw(spark, sf_dir).withColumns({
+        "in_response_to_tweet_id": parent.cast("long"),
+        "response_tweet_id": F.when(listed, F.concat((n + 1).cast("string"), F.lit(" , "), (n + 500).cast("string"), F.lit(",x"))),
+    })

@@ -117,13 +117,13 @@ def test_bounds_skip_blocks_and_lose_nothing():
     rows, members = [], []
     for b in range(-(-n // postings.BLOCK)):
         part = weights[b * postings.BLOCK : (b + 1) * postings.BLOCK]
-        members.append((b, list(range(b * postings.BLOCK, b * postings.BLOCK + len(part))), intents[b * postings.BLOCK :][: len(part)]))
+        members.append((b, [f"{c:05d}" for c in range(b * postings.BLOCK, b * postings.BLOCK + len(part))], intents[b * postings.BLOCK :][: len(part)]))
         for t in np.flatnonzero(part.any(axis=0)):
             slots = [int(s) for s in np.argsort(-part[:, t], kind="stable") if part[s, t] > 0]
             rows.append((b, int(t), float(part[:, t].max()), slots, [float(part[s, t]) for s in slots]))
     columns = [pa.array(x) for x in zip(*rows)]
     table = pa.table([columns[0], columns[1], columns[2], columns[3], columns[4]], ["block", "term", "top", "slots", "weights"])
-    chunk = postings.Chunk(table, pa.table([pa.array(x) for x in zip(*members)], ["block", "numbers", "intents"]))
+    chunk = postings.Chunk(table, pa.table([pa.array(x) for x in zip(*members)], ["block", "case_ids", "intents"]))
     kind, visited = np.arange(terms) % 2, 0
     for q in range(0, n, 200):
         own = np.flatnonzero(weights[q])
@@ -131,9 +131,9 @@ def test_bounds_skip_blocks_and_lose_nothing():
         wanted = "i1" if q % 400 else None
         score = 0.45 * lex + 0.55 * sem + 0.15 * sem * (np.array(intents) == wanted)
         want = sorted(range(n), key=lambda c: (-round(score[c], 9), c))[:k]
-        held = [(0.0, 0.0, 0.0, c) for c in range(k)]
+        held = [(0.0, 0.0, 0.0, f"{c:05d}") for c in range(k)]
         found, blocks = chunk.search(own, weights[q, own], wanted, held, k, 0.45, 0.55, 0.15)
-        assert [r[3] for r in found] == want and [round(r[0], 9) for r in found] == [round(score[c], 9) for c in want]
+        assert [int(r[3]) for r in found] == want and [round(r[0], 9) for r in found] == [round(score[c], 9) for c in want]
         visited += blocks
     assert visited < 0.7 * 20 * chunk.n_blocks
 
