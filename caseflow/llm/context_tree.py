@@ -46,8 +46,10 @@ from caseflow.llm.tables import materialize
 DEPTH = 4
 END = 0xFF
 SLICE_BYTES = 32 << 20
-PACK_BYTES = 4 << 20
-WINDOW = 1 << 22
+PACK_BYTES = 2 << 20
+WINDOW = 1 << 20
+#: Counts of a slice are merged when there are so many.
+PENDING = 1 << 21
 ROWS = 1 << 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -93,7 +95,7 @@ class _Counts:
     """Different keys of a slice with their learnt counts."""
 
     def __init__(self):
-        self.keys, self.counts = [], []
+        self.keys, self.counts, self.held = [], [], 0
 
     def add(self, keys: np.ndarray, learnt: np.ndarray) -> None:
         for chosen, weight in ((keys[learnt], 1), (keys[~learnt], 0)):
@@ -101,6 +103,10 @@ class _Counts:
                 found, n = np.unique(chosen, return_counts=True)
                 self.keys.append(found)
                 self.counts.append(n * weight)
+                self.held += len(found)
+        if self.held > PENDING:
+            keys, counts = self.total()
+            self.keys, self.counts, self.held = [keys], [counts], 0
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         keys, back = np.unique(np.concatenate([np.empty(0, np.int64), *self.keys]), return_inverse=True)
