@@ -90,26 +90,42 @@ def triage_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "decision", "reason", F.md5("suggested_reply").alias("reply_md5"), "is_grounded", F.array_join("evidence_ids", ",").alias("evidence_ids"))
 
 
-def streaming_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, model, index = _triage_setting(spark, sf_dir)
-    path = scratch_path(spark, "stream")
+def _streamed(spark: SparkSession, sf_dir: str, model, index) -> DataFrame:
+    """The sink of a stream in which every customer message is sent twice."""
+    path, sent = scratch_path(spark, "stream"), _stream(spark, sf_dir)
     done = streaming.run(
-        _stream(spark, sf_dir).select(F.col("tweet_id").alias("q_id"), "text"),
+        sent.unionByName(sent).select(F.col("tweet_id").alias("q_id"), "text", "created_at"),
         model, index, f"{path}/out", f"{path}/state", available_now=True)
     done.awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("q_id", "intent", "decision", "suggested_reply")
+    return spark.read.parquet(f"{path}/out")
+
+
+def streaming_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, model, index = _triage_setting(spark, sf_dir)
+    return _streamed(spark, sf_dir, model, index).select("q_id", "intent", "decision", "suggested_reply")
+
+
+def streaming_triage_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream with intents by rules: each message once, with the answer that the table gives."""
+    stored, assignment = base.assigned(spark, sf_dir)
+    index = retrieval.fit_index(conv.resolution_pairs(stored, assignment))
+    return _streamed(spark, sf_dir, RuleClassifier(base.PACK), index).select(
+        "q_id", "intent", F.col("intent_confidence").alias("confidence"), "decision", "reason", F.md5("suggested_reply").alias("reply_md5"),
+        F.array_join(F.transform("evidence", lambda e: e["case_id"]), ",").alias("evidence_ids"))
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = standin.table(spark, sf_dir, "conversations").schema
     turns = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
-    return turns.where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("tweet_id"), "text")
+    tweet_id = F.col("conv_id") * 1000 + F.col("turn")
+    sent = F.timestamp_seconds(F.lit(standin.FIRST_SECOND) + tweet_id)
+    return turns.where("role = 'user'").select(tweet_id.alias("tweet_id"), "text", sent.alias("created_at"))
 
 
 def streaming_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream")
     query = (
-        streaming.stateless(_stream(spark, sf_dir), base.PACK).writeStream.format("parquet")
+        streaming.stateless(_stream(spark, sf_dir).drop("created_at"), base.PACK).writeStream.format("parquet")
         .option("checkpointLocation", f"{path}/state").option("path", f"{path}/out").trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -136,7 +152,7 @@ def headline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     majority_baseline, logistic_baseline, intent_classifier, model_comparison, topic_clusters, triage_messages, triage_rules,
-    streaming_triage, streaming_gates, evaluation_results, headline_metrics,
+    streaming_triage, streaming_triage_rules, streaming_gates, evaluation_results, headline_metrics,
 )}
 
 _gate = (
@@ -169,3 +185,5 @@ ORACLES = {
         {base.sql_clean("text")} AS cleaned_text, {_gate} AS unsupported_language,
         {base.sql_match("text", packs.GATE_HUMAN)} AS human_request FROM raw WHERE inbound""",
 }
+
+ORACLES["streaming_triage_rules"] = f"SELECT q_id, intent, confidence, decision, reason, reply_md5, evidence_ids FROM ({ORACLES['triage_rules']})"

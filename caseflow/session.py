@@ -6,6 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +55,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/caseflow/{name}-{uuid.uuid4().hex}"
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``materialize`` wrote inside it: for work whose result is written elsewhere by then."""
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in _SCOPE.get():
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        _SCOPE.reset(token)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -59,5 +79,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     again. It also makes a result that is read more than once cost one job.
     """
     path = scratch_path(df.sparkSession, name)
+    if (written := _SCOPE.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
