@@ -145,8 +145,7 @@ assignment AS (
   SELECT component_id, heuristic_intent, is_non_english, 'out_of_scope_non_english' FROM tagged WHERE is_non_english)
 """
 
-CORPUS = f"""
-{ASSIGN},
+SQL_CORPUS = f"""
 corpus AS (
   SELECT 'case_' || c.component_id AS case_id, c.component_id, trim(c.text) AS customer_text,
          {sql_clean("trim(c.text)")} AS cleaned_customer_text, trim(a.text) AS agent_reply,
@@ -155,3 +154,5 @@ corpus AS (
   WHERE s.split = 'train_retrieval' AND a.turn_index > c.turn_index
     AND length(trim(a.text)) >= 15 AND length(trim(c.text)) >= 5)
 """
+
+CORPUS = f"{ASSIGN},{SQL_CORPUS}"

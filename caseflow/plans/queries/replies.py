@@ -19,8 +19,8 @@ from caseflow.plans.queries import base
 def scored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer message with a derived prediction, a first case and labels.
 
-    A case's reply is a piece of the conversation's first reply; its length walks from 0
-    to 399 characters, so that reused and template replies both occur.
+    A case's reply is the conversation's whole first reply, or a short text of its own where the id is divisible by
+    three, so that reused and template replies both occur.
     """
     stored = base.stored_messages(spark, sf_dir)
     tid, labels = F.col("tweet_id"), packs.TAXONOMY.all_labels
@@ -145,19 +145,9 @@ s3 AS (
               ELSE {_template} END AS suggested_reply FROM s2),"""
 
 
-SCORED = f"""
-{base.MSG},
-s0 AS (
-  SELECT m.tweet_id, m.component_id, m.text, o.text AS reply, {base.sql_label(base.sql_first_match("m.text", base.PACK))} AS intent,
-         round((m.tweet_id * 7) % 997 / 997.0::DOUBLE, 4) AS confidence, round((m.tweet_id * 13) % 311 / 1000.0::DOUBLE, 4) AS margin,
-         CASE WHEN m.tweet_id % 11 > 0 THEN round((m.tweet_id * 17) % 991 / 991.0::DOUBLE, 4) END AS top_score,
-         ['Easy', 'Medium', 'Hard'][m.tweet_id % 3 + 1] AS difficulty
-  FROM msg m LEFT JOIN first_out o USING (component_id) WHERE m.inbound),
-s1 AS (
-  SELECT *, CASE WHEN tweet_id % 4 = 0 THEN {_list}[list_position({_list}, intent) % {len(_names)} + 1] ELSE intent END AS human_intent,
-         '@cust ' || CASE WHEN tweet_id % 3 = 0 THEN 'ok ' || tweet_id ELSE coalesce(reply, '') END
-           || CASE WHEN tweet_id % 5 = 0 THEN ' We have refunded you, please check. ^AB' ELSE ' -XY' END AS piece FROM s0),
-{sql_decided("s1")}
+def sql_scored(source: str) -> str:
+    """CTEs that end in ``scored``: the decision, the rubric and the second rating; ``source`` also has ``human_intent``."""
+    return f"""{sql_decided(source)}
 s4 AS (SELECT *, lower(suggested_reply) AS lo FROM s3),
 s5 AS (
   SELECT *, {_relevance} AS relevance,
@@ -176,7 +166,22 @@ s6 AS (
          CASE WHEN coalesce(top_score, 0) >= 0.40 THEN 5 WHEN coalesce(top_score, 0) >= 0.28 THEN 4 ELSE 3 END AS review_groundedness,
          5 AS review_factual_safety, CASE WHEN {_any("lo", ["dm", "orders"])} THEN 5 ELSE 4 END AS review_actionability,
          5 AS review_tone, 5 AS review_conciseness FROM s5),
-scored AS (SELECT *, review_relevance + review_groundedness + review_actionability + 15 AS review_total_score FROM s6)
+scored AS (SELECT *, review_relevance + review_groundedness + review_actionability + 15 AS review_total_score FROM s6)"""
+
+
+SCORED = f"""
+{base.MSG},
+s0 AS (
+  SELECT m.tweet_id, m.component_id, m.text, o.text AS reply, {base.sql_label(base.sql_first_match("m.text", base.PACK))} AS intent,
+         round((m.tweet_id * 7) % 997 / 997.0::DOUBLE, 4) AS confidence, round((m.tweet_id * 13) % 311 / 1000.0::DOUBLE, 4) AS margin,
+         CASE WHEN m.tweet_id % 11 > 0 THEN round((m.tweet_id * 17) % 991 / 991.0::DOUBLE, 4) END AS top_score,
+         ['Easy', 'Medium', 'Hard'][m.tweet_id % 3 + 1] AS difficulty
+  FROM msg m LEFT JOIN first_out o USING (component_id) WHERE m.inbound),
+s1 AS (
+  SELECT *, CASE WHEN tweet_id % 4 = 0 THEN {_list}[list_position({_list}, intent) % {len(_names)} + 1] ELSE intent END AS human_intent,
+         '@cust ' || CASE WHEN tweet_id % 3 = 0 THEN 'ok ' || tweet_id ELSE coalesce(reply, '') END
+           || CASE WHEN tweet_id % 5 = 0 THEN ' We have refunded you, please check. ^AB' ELSE ' -XY' END AS piece FROM s0),
+{sql_scored("s1")}
 """
 
 _prompt = (

@@ -86,15 +86,20 @@ def _pairs(kind: str, counts, min_df: int, limit: int) -> str:
                  FROM {kind}_qw q JOIN {kind}_cw c USING (term) GROUP BY 1, 2)"""
 
 
-FOUND = f"""
-{base.CORPUS},
+def sql_found(queries: str) -> str:
+    """CTEs from ``corpus`` and a CTE text that ends in ``queries(q_id, text, gold)`` to both kinds of pair products."""
+    return f"""
 cdocs AS (SELECT case_id, cleaned_customer_text AS text FROM corpus),
-queries AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {base.sql_clean("text")} AS text, {_gold} AS gold
-            FROM msg WHERE inbound AND {base.sql_clean("text")} <> ''),
+{queries},
 qdocs AS (SELECT q_id, text FROM queries),
 {_pairs("lex", lambda d, i, n: terms.sql_word_counts(d, i, 2, terms.WORDS, name=n), 2, 25000)},
 {_pairs("sem", lambda d, i, n: terms.sql_char_counts(d, i, n), 3, 35000)}"""
 
+
+_asked = f"""queries AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {base.sql_clean("text")} AS text, {_gold} AS gold
+            FROM msg WHERE inbound AND {base.sql_clean("text")} <> '')"""
+FOUND = f"{base.CORPUS},{sql_found(_asked)}"
+
 SAME = f"c.intent = q.gold AND q.gold IN {base.sql_list(packs.TAXONOMY.labels)}"
 _columns = "q_id, rank, case_id, score, lexical_score, semantic_score, intent, is_sufficient"
 
