@@ -28,55 +28,70 @@ def tag(
     )
 
 
+MASK_BITS = 63
+
+
+def hit_masks(messages: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """``mask, n``: messages by the set of flags they hold, bit k for the k-th flag, each flag tested once a message.
+
+    One row has no message and no flag, so that counts over an empty table are zeros. All shares, pairs and combinations
+    are read from this table, which has as many rows as sets that occur.
+    """
+    if len(flags) > MASK_BITS:
+        raise ValueError(f"at most {MASK_BITS} flags fit a mask")
+    mask = F.lit(0).cast("long")
+    for bit, flag in enumerate(flags.values()):
+        mask = mask.bitwiseOR(F.when(flag, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long")))
+    counted = messages.select(mask.alias("mask")).groupBy("mask").agg(F.count("*").alias("n"))
+    return counted.unionByName(messages.sparkSession.range(1).select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("n")))
+
+
+def _holds(bit: Column) -> Column:
+    return F.getbit("mask", bit) == 1
+
+
+def _numbers(masks: DataFrame, names: list[str], keep: str) -> DataFrame:
+    """``keep, matched, pct`` of every flag."""
+    each = F.array(*[F.struct(F.lit(k).alias("bit"), F.lit(name).alias(keep)) for k, name in enumerate(names)])
+    counted = masks.select("mask", "n", F.explode(each).alias("e")).groupBy(f"e.{keep}").agg(
+        F.sum("n").alias("_total"), F.sum(F.when(_holds(F.col("e.bit")), F.col("n")).otherwise(0)).alias("matched"))
+    return counted.select(
+        keep, "matched", F.coalesce(F.round(F.try_divide(100 * F.col("matched"), F.col("_total")), 2), F.lit(0.0)).alias("pct"))
+
+
+def _flags(pack: RulePack) -> dict[str, Column]:
+    return {name: pack.flag(F.col("text"), name) for name in pack.names}
+
+
 def rule_shares(messages: DataFrame, pack: RulePack = packs.KEYWORD_PACK) -> DataFrame:
     """``rule, matched, pct`` for every rule from one pass over the messages."""
-    counts = messages.agg(
-        F.count("*").alias("_total"),
-        *[F.count_if(pack.flag(F.col("text"), name)).alias(name) for name in pack.names],
-    )
-    pairs = ", ".join(f"'{n}', `{n}`" for n in pack.names)
-    return counts.selectExpr("_total", f"stack({len(pack.names)}, {pairs}) AS (rule, matched)").select(
-        "rule", "matched",
-        F.coalesce(F.round(F.try_divide(100 * F.col("matched"), F.col("_total")), 2), F.lit(0.0)).alias("pct"),
-    )
+    return _numbers(hit_masks(messages, _flags(pack)), pack.names, "rule")
 
 
 def overlap(messages: DataFrame, pack: RulePack = packs.REVIEW_PACK) -> DataFrame:
-    """Counts for every pair of rules, from one pass.
+    """Counts for every pair of rules, from the masks of one pass.
 
-    ``rule_a, rule_b, a, b, n_both, a_only, b_only, pct_of_a``. Each row turns into the
-    pairs of rules it hits, so the output depends on the pack's size alone.
+    ``rule_a, rule_b, a, b, n_both, a_only, b_only, pct_of_a``.
     """
-    flagged = messages.select(*[pack.flag(F.col("text"), n).alias(n) for n in pack.names])
-    pairs = list(combinations(pack.names, 2))
-    sums = [F.count_if(n).alias(f"n_{n}") for n in pack.names]
-    sums += [F.count_if(F.col(a) & F.col(b)).alias(f"n_{a}__{b}") for a, b in pairs]
-    entries = ", ".join(f"'{a}', '{b}', `n_{a}`, `n_{b}`, `n_{a}__{b}`" for a, b in pairs)
-    return (
-        flagged.agg(*sums)
-        .selectExpr(f"stack({len(pairs)}, {entries}) AS (rule_a, rule_b, a, b, n_both)")
-        .select(
-            "rule_a", "rule_b", "a", "b", "n_both",
-            (F.col("a") - F.col("n_both")).alias("a_only"),
-            (F.col("b") - F.col("n_both")).alias("b_only"),
-            F.coalesce(F.round(F.try_divide(100 * F.col("n_both"), F.col("a")), 1), F.lit(0.0)).alias("pct_of_a"),
-        )
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(a).alias("rule_a"), F.lit(b).alias("rule_b"))
+        for (i, a), (j, b) in combinations(enumerate(pack.names), 2)
+    ])
+    held = hit_masks(messages, _flags(pack)).select("mask", "n", F.explode(pairs).alias("p"))
+    a, b = _holds(F.col("p.i")), _holds(F.col("p.j"))
+    number = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    counts = held.groupBy("p.rule_a", "p.rule_b").agg(number(a).alias("a"), number(b).alias("b"), number(a & b).alias("n_both"))
+    return counts.select(
+        "rule_a", "rule_b", "a", "b", "n_both",
+        (F.col("a") - F.col("n_both")).alias("a_only"),
+        (F.col("b") - F.col("n_both")).alias("b_only"),
+        F.coalesce(F.round(F.try_divide(100 * F.col("n_both"), F.col("a")), 1), F.lit(0.0)).alias("pct_of_a"),
     )
 
 
 def condition_counts(messages: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     """``condition, matched, pct`` for named boolean columns, from one pass."""
-    counts = messages.agg(
-        F.count("*").alias("_total"),
-        *[F.count_if(c).alias(name) for name, c in conditions.items()],
-    )
-    pairs = ", ".join(f"'{n}', `{n}`" for n in conditions)
-    return counts.selectExpr(
-        "_total", f"stack({len(conditions)}, {pairs}) AS (condition, matched)"
-    ).select(
-        "condition", "matched",
-        F.coalesce(F.round(F.try_divide(100 * F.col("matched"), F.col("_total")), 2), F.lit(0.0)).alias("pct"),
-    )
+    return _numbers(hit_masks(messages, conditions), list(conditions), "condition")
 
 
 def review_conditions(pack: RulePack = packs.REVIEW_PACK) -> dict[str, Column]:
@@ -92,19 +107,26 @@ def review_conditions(pack: RulePack = packs.REVIEW_PACK) -> dict[str, Column]:
     }
 
 
-def core_conditions(
-    core: RulePack = packs.CORE_PACK, complaint: str = packs.COMPLAINT, multi: int = 2
-) -> dict[str, Column]:
-    """Several core patterns at once, and complaints with and without one."""
-    hits = core.hit_count(F.col("text"))
-    complains = matches(F.col("text"), complaint)
-    return {
+def core_counts(
+    messages: DataFrame, core: RulePack = packs.CORE_PACK, complaint: str = packs.COMPLAINT, multi: int = 2
+) -> DataFrame:
+    """``condition, matched, pct``: several core patterns at once, and complaints with and without one.
+
+    Each pattern is tested once a message; the conditions are combinations of bits.
+    """
+    masks = hit_masks(messages, {**_flags(core), "complaint": matches(F.col("text"), complaint)})
+    hits, complains = F.bit_count(F.col("mask").bitwiseAND(F.lit((1 << len(core.names)) - 1))), _holds(F.lit(len(core.names)))
+    conditions = {
         "multi_core": hits >= multi,
         "any_core": hits > 0,
         "complaint": complains,
         "complaint_and_core": complains & (hits > 0),
         "complaint_only": complains & (hits == 0),
     }
+    mask = F.lit(0).cast("long")
+    for bit, condition in enumerate(conditions.values()):
+        mask = mask.bitwiseOR(F.when(condition, F.lit(1 << bit)).otherwise(F.lit(0)).cast("long"))
+    return _numbers(masks.select(mask.alias("mask"), "n"), list(conditions), "condition")
 
 
 def sample_matches(

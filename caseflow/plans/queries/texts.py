@@ -80,7 +80,7 @@ def default_rule_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def core_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = conv.first_inbound(base.messages(spark, sf_dir))
-    return tagging.condition_counts(first, tagging.core_conditions(PACK, r"\b(er|en|es)\b"))
+    return tagging.core_counts(first, PACK, r"\b(er|en|es)\b")
 
 
 def review_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
