@@ -278,18 +278,26 @@ def _shifted(idx: Column, by: int) -> Column:
     return F.transform(idx, lambda i: i + by)
 
 
-def union_vectors(ids: DataFrame, row_id: str, blocks: list[tuple[DataFrame, int]], output: str) -> DataFrame:
-    """One sparse vector per row of ``ids`` from blocks of weights side by side.
+def union_entries(ids: DataFrame, row_id: str, blocks: list[tuple[DataFrame, int]], idx: str, val: str) -> tuple[DataFrame, int]:
+    """Rows of ``ids`` with the entries of their vector as two arrays, blocks of weights side by side, and the vector's size.
 
-    Rows without any known term get an empty vector.
+    Rows without any known term get empty arrays.
     """
     joined, offset = ids, 0
-    idx, val = [], []
+    places, values = [], []
     for n, (block, size) in enumerate(blocks):
         joined = joined.join(block.select(row_id, F.col("idx").alias(f"_i{n}"), F.col("val").alias(f"_v{n}")), row_id, "left")
-        idx.append(_shifted(F.coalesce(f"_i{n}", F.array().cast("array<int>")), offset))
-        val.append(F.coalesce(f"_v{n}", F.array().cast("array<double>")))
+        places.append(_shifted(F.coalesce(f"_i{n}", F.array().cast("array<int>")), offset))
+        values.append(F.coalesce(f"_v{n}", F.array().cast("array<double>")))
         offset += size
-    return joined.withColumn(output, to_sparse(F.concat(*idx), F.concat(*val), offset)).drop(
-        *[f"_{k}{n}" for n in range(len(blocks)) for k in "iv"]
-    )
+    found = joined.withColumn(idx, F.concat(*places)).withColumn(val, F.concat(*values))
+    return found.drop(*[f"_{k}{n}" for n in range(len(blocks)) for k in "iv"]), offset
+
+
+def union_vectors(ids: DataFrame, row_id: str, blocks: list[tuple[DataFrame, int]], output: str) -> DataFrame:
+    """One sparse vector per row of ``ids`` from blocks of weights side by side.
+
+    Rows without any known term get an empty vector.
+    """
+    joined, size = union_entries(ids, row_id, blocks, "_idx", "_val")
+    return joined.withColumn(output, to_sparse(F.col("_idx"), F.col("_val"), size)).drop("_idx", "_val")

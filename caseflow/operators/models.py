@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
@@ -166,9 +168,7 @@ class IntentClassifier:
         numbered = fx.union_vectors(docs, row_id, blocks, "features").withColumn(
             "y", _label_index(F.col("label"), labels)
         )
-        folded = hashed_position(numbered, ["y"], row_id, self.seed, "_pos").withColumn(
-            "fold", F.pmod(F.col("_pos") - 1, F.lit(self.folds)).cast("int")
-        )
+        folded = self._with_fold(numbered, row_id)
         # the label's metadata names all classes, so a fold that lacks one keeps its place
         classes = {"ml_attr": {"type": "nominal", "name": "y", "vals": labels}}
         stored = materialize(folded.select("y", "fold", "features"), "features")
@@ -183,6 +183,49 @@ class IntentClassifier:
             rows.unpersist()
         return IntentModel(labels, vocabs, specs, [v for _, v in blocks], fitted, sigmoids)
 
+    def _with_fold(self, numbered: DataFrame, row_id: str) -> DataFrame:
+        return hashed_position(numbered, ["y"], row_id, self.seed, "_pos").withColumn(
+            "fold", F.pmod(F.col("_pos") - 1, F.lit(self.folds)).cast("int")
+        )
+
+    def certificate(self, model: "IntentModel", train: DataFrame, row_id: str, text: str, label: str) -> DataFrame:
+        """``fold, rows, largest_gradient``: how far each fold's coefficients are from the optimum.
+
+        The gradient of the regularised objective at the fitted coefficients, over all training rows of a fold, is one grouped
+        sum over the entries of their vectors; at the optimum every entry is 0. Coefficients are as many as classes times terms.
+        """
+        k, folds = len(model.labels), range(self.folds)
+        docs = train.select(row_id, F.col(text).alias("text"), _label_index(F.col(label), model.labels).alias("y"))
+        rows, size = model.entries(docs, row_id, "text", "idx", "val")
+        rows = self._with_fold(rows.drop("text"), row_id).withColumn("features", fx.to_sparse(F.col("idx"), F.col("val"), size))
+        sizes = materialize(rows.select("y", "fold", "idx", "val", "features"), "certificate")
+        counts = {(r["y"], r["fold"]): r["n"] for r in sizes.groupBy("y", "fold").agg(F.count("*").alias("n")).collect()}
+        scored, totals = sizes, []
+        for f, fitted in zip(folds, model.fitted):
+            own = {y: sum(n for (z, g), n in counts.items() if z == y and g != f) for y, _ in counts}
+            own = {y: n for y, n in own.items() if n}
+            totals.append(sum(own.values()))
+            table = F.create_map(*[F.lit(x) for y, n in own.items() for x in (y, totals[f] / (len(own) * n))])
+            weight = F.when(F.col("fold") != f, F.element_at(table, F.col("y")) / totals[f]).otherwise(0.0)
+            scored = fitted.copy().setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"_q{f}").transform(scored)
+            chances, hit = vector_to_array(f"_q{f}"), F.col("y")
+            scored = scored.withColumn("_w", weight).withColumn(
+                f"_r{f}", F.transform(chances, lambda p, c: (p - F.when(hit == c, 1.0).otherwise(0.0)) * F.col("_w"))).drop(f"_q{f}", "_w")
+        each = F.explode(F.concat(F.arrays_zip("idx", "val"), F.array(F.struct(F.lit(-1).alias("idx"), F.lit(1.0).alias("val")))))
+        long = scored.select(each.alias("e"), *[f"_r{f}" for f in folds])
+        sums = [F.sum(F.col("e.val") * F.col(f"_r{f}")[c]).alias(f"g{f}_{c}") for f in folds for c in range(k)]
+        slopes = long.groupBy("e.idx").agg(*sums)  # idx -1 is the intercept, which is not regularised
+        parts = []
+        for f, fitted in zip(folds, model.fitted):
+            pull = fitted.coefficientMatrix.toArray().T * (1.0 / (self.c * totals[f]))
+            known = train.sparkSession.createDataFrame(pd.DataFrame({"idx": range(size), "pull": list(pull)}), "idx int, pull array<double>")
+            met = slopes.select("idx", F.array(*[f"g{f}_{c}" for c in range(k)]).alias("g")).join(known, "idx", "full")
+            zero = F.array(*[F.lit(0.0)] * k)
+            off = F.zip_with(F.coalesce("g", zero), F.coalesce("pull", zero), lambda a, b: F.abs(a + b))
+            parts.append(met.agg(F.max(F.array_max(off)).alias("largest_gradient")).select(
+                F.lit(f).alias("fold"), F.lit(totals[f]).cast("long").alias("rows"), "largest_gradient"))
+        return reduce(DataFrame.unionByName, parts)
+
     def _fit_fold(self, rows: DataFrame, fold: int, k: int) -> LogisticRegressionModel:
         part = rows.where(F.col("fold") != fold)
         sizes = {r["y"]: r["n"] for r in part.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -269,13 +312,19 @@ class IntentModel:
     fitted: list[LogisticRegressionModel]
     sigmoids: list[list[tuple[float, float]]]
 
-    def features(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
+    def _blocks(self, rows: DataFrame, row_id: str, text: str) -> list[tuple[DataFrame, int]]:
         docs = rows.select(row_id, t.clean(F.col(text)).alias("text"))
-        blocks = [
+        return [
             (fx.weights(fx.term_counts(docs, row_id, "text", spec), vocab, row_id, spec), size)
             for spec, vocab, size in zip(self.specs, self.vocabs, self.sizes)
         ]
-        return fx.union_vectors(rows, row_id, blocks, "features")
+
+    def entries(self, rows: DataFrame, row_id: str, text: str, idx: str, val: str) -> tuple[DataFrame, int]:
+        """Rows with the places and weights of their vector as arrays, and its size."""
+        return fx.union_entries(rows, row_id, self._blocks(rows, row_id, text), idx, val)
+
+    def features(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
+        return fx.union_vectors(rows, row_id, self._blocks(rows, row_id, text), "features")
 
     def predict_proba(self, rows: DataFrame, row_id: str, text: str) -> DataFrame:
         """Adds ``chances``, one probability per label in label order."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from caseflow.functions import packs
 from caseflow.operators import clustering, metrics, retrieval, splits
 from caseflow.operators import conversations as conv
 from caseflow.operators.models import IntentClassifier, IntentModel, MajorityBaseline, RuleClassifier, TfidfLogisticBaseline
+from caseflow.operators.stages import IntentEstimator
 from caseflow.plans import evaluation, triage
 from caseflow.plans.queries import base, replies, search
 from caseflow.session import materialize, scratch_path
@@ -43,6 +45,41 @@ def intent_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "intent", "confidence", "margin", "is_confident")
 
 
+GRADIENT_BOUND = 1e-3
+
+
+def classifier_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each fold's coefficients are at the optimum, and answers that break a rule of probabilities."""
+    train, rest = _documents(spark, sf_dir)
+    classifier = IntentClassifier()
+    model = classifier.fit(train, "doc_id", "text", "lang")
+    proof = classifier.certificate(model, train, "doc_id", "text", "lang").withColumn("at_optimum", F.col("largest_gradient") < GRADIENT_BOUND)
+    ranked = F.sort_array("chances", asc=False)
+    told = materialize(model.predict_proba(rest, "doc_id", "text").select("doc_id", "chances"), "chances")
+    shown = model.transform(rest, "doc_id", "text").select("doc_id", "confidence", "margin", "probabilities")
+    total = F.aggregate("chances", F.lit(0.0), lambda a, x: a + x)
+    wrong = told.join(shown, "doc_id").agg(
+        F.count("*").alias("answers"),
+        F.count_if(F.abs(total - 1) > 1e-9).alias("wrong_sums"),
+        F.count_if(F.abs(F.col("margin") - (ranked[0] - ranked[1])) > 6e-5).alias("wrong_margins"),
+        F.count_if(F.abs(F.col("confidence") - ranked[0]) > 6e-5).alias("wrong_confidences"),
+    ).first()
+    return proof.select("fold", "at_optimum", *[F.lit(wrong[c]).alias(c) for c in ("answers", "wrong_sums", "wrong_margins", "wrong_confidences")])
+
+
+def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pipeline with the classifier, fitted, saved and loaded: its answers beside those of the fitted one."""
+    train, rest = _documents(spark, sf_dir)
+    stage = IntentEstimator(rowIdCol="doc_id", textCol="text", labelCol="lang", folds=3, minConfidence=0.6)
+    fitted = Pipeline(stages=[stage]).fit(train)
+    path = scratch_path(spark, "pipeline")
+    fitted.write().overwrite().save(path)
+    columns = ["doc_id", "intent", "confidence", "margin", "is_confident"]
+    told = [materialize(m.transform(rest).select(*columns), "scores") for m in (fitted, PipelineModel.load(path))]
+    both = told[0].join(told[1].select("doc_id", F.struct(*columns[1:]).alias("loaded")), "doc_id", "left")
+    return both.select("doc_id", F.struct(*columns[1:]).eqNullSafe(F.col("loaded")).alias("same"))
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, IntentModel]:
     stored, assignment = base.assigned(spark, sf_dir)
     train = conv.labelled_first_messages(stored, assignment, conv.TRAIN_SPLIT)
@@ -151,7 +188,7 @@ def headline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    majority_baseline, logistic_baseline, intent_classifier, model_comparison, topic_clusters, triage_messages, triage_rules,
+    majority_baseline, logistic_baseline, intent_classifier, classifier_certificate, saved_model_scores, model_comparison, topic_clusters, triage_messages, triage_rules,
     streaming_triage, streaming_triage_rules, streaming_gates, evaluation_results, headline_metrics,
 )}
 
@@ -187,3 +224,12 @@ ORACLES = {
 }
 
 ORACLES["streaming_triage_rules"] = f"SELECT q_id, intent, confidence, decision, reason, reply_md5, evidence_ids FROM ({ORACLES['triage_rules']})"
+
+_held = f"""strata AS (SELECT lang AS stratum, count(*) AS n FROM documents GROUP BY 1),
+    {base.sql_quotas("strata")},
+    p AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('{base.SEED}:' || doc_id), doc_id) AS k FROM documents),
+    held AS (SELECT doc_id FROM p JOIN quotas ON stratum = lang WHERE k > train)"""
+
+ORACLES["classifier_certificate"] = f"""WITH {_held} SELECT CAST(f.range AS INT) AS fold, true AS at_optimum, count(*) AS answers,
+    0 AS wrong_sums, 0 AS wrong_margins, 0 AS wrong_confidences FROM held, range(5) f GROUP BY f.range"""
+ORACLES["saved_model_scores"] = f"WITH {_held} SELECT doc_id, true AS same FROM held"

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseflow import schemas
 from caseflow.functions import packs
 from caseflow.operators import conversations as conv
 from caseflow.operators import splits, tagging
 from caseflow.plans.queries import base
-from caseflow.session import materialize
-from caseflow.sources import standin
+from caseflow.session import materialize, scratch_path
+from caseflow.sources import standin, tables
 
 TAGS = [*base.PACK.names, "unmatched_other", "non_english_out_of_scope"]
 QUOTAS = {name: q for name, q in packs.GOLDEN_QUOTAS.items()}
@@ -80,6 +81,13 @@ def golden_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _golden(spark, sf_dir)[2]
 
 
+def golden_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark written as CSV and read again, as a person would get and return it."""
+    path = scratch_path(spark, "golden-csv")
+    tables.write_csv(_golden(spark, sf_dir)[2].select(*schemas.GOLDEN.names), path)
+    return tables.read_golden_csv(spark, path)
+
+
 def apply_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     golden = _golden(spark, sf_dir)[2]
     return splits.apply_labels(golden, _labels(golden)).select(
@@ -121,7 +129,7 @@ def text_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     stratified_split, orders_split, split_stats, messages_per_split, split_violations, rare_tags, quota_sample,
-    mixed_quota_sample, golden_set, apply_labels, label_validation, label_distribution, tag_label_disagreement,
+    mixed_quota_sample, golden_set, golden_csv, apply_labels, label_validation, label_distribution, tag_label_disagreement,
     leakage_check, text_leakage,
 )}
 
@@ -208,6 +216,7 @@ ORACLES = {
         {_mixed("pool", "o_orderpriority", "o_orderkey", "hits", ORDER_QUOTAS, "5-LOW")}
         SELECT o_orderkey, o_orderpriority, hits, is_multi FROM mixed""",
     "golden_set": f"WITH {_GOLDEN} SELECT * FROM golden",
+    "golden_csv": f"WITH {_GOLDEN} SELECT {', '.join(schemas.GOLDEN.names)} FROM golden",
     "apply_labels": f"WITH {_LABELLED} SELECT golden_id, component_id, human_intent, difficulty, annotator_notes FROM labelled",
     "label_validation": f"""WITH g AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM documents),
         l AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN toxic = 1 THEN 'Toxic' WHEN quality = 1 THEN 'Refund Request' END AS i,

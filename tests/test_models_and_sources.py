@@ -1,9 +1,11 @@
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from caseflow import schemas
 from caseflow.operators import brands, profile
 from caseflow.operators.models import IntentClassifier, IntentModel, MajorityBaseline, TfidfLogisticBaseline
+from caseflow.operators.stages import IntentEstimator
 from caseflow.sources import tables
 
 WORDS = {"parcel": "late parcel not here", "refund": "money back refund please", "login": "password reset login fails"}
@@ -35,6 +37,36 @@ def test_classifier(spark, train, model, tmp_path):
     assert {r.id: (r.intent, r.confidence) for r in again.collect()} == {i: (r.intent, r.confidence) for i, r in rows.items()}
 
 
+def test_certificate_tells_an_optimum(train, model):
+    """The gradient is next to nothing for the fitted model, and not for one fitted to another objective."""
+    at = IntentClassifier(folds=3).certificate(model, train, "id", "text", "label").collect()
+    assert [r.fold for r in at] == [0, 1, 2] and all(r.largest_gradient < 1e-5 for r in at)
+    assert sum(r.rows for r in at) == 2 * train.count()
+    off = IntentClassifier(folds=3, c=0.5).certificate(model, train, "id", "text", "label").collect()
+    assert all(r.largest_gradient > 1e-3 for r in off)
+
+
+def test_stages_in_a_pipeline(spark, train, tmp_path):
+    stage = IntentEstimator(rowIdCol="id", labelCol="label", folds=2, c=1.5, minConfidence=0.7, minMargin=0.2)
+    fitted = Pipeline(stages=[stage]).fit(train)
+    fitted.write().overwrite().save(str(tmp_path / "pipeline"))
+    loaded = PipelineModel.load(str(tmp_path / "pipeline"))
+    asked = spark.createDataFrame([(1, "parcel is late"), (2, "forgot my password"), (3, None)], "id long, text string")
+    columns = ["id", "intent", "confidence", "margin", "is_confident"]
+    told, again = ([tuple(r) for r in m.transform(asked).select(*columns).orderBy("id").collect()] for m in (fitted, loaded))
+    assert told == again and told[0][1] == "parcel"
+    assert loaded.stages[0].getOrDefault("minMargin") == 0.2 and loaded.stages[0].uid == fitted.stages[0].uid
+    stage.save(str(tmp_path / "stage"))
+    assert IntentEstimator.load(str(tmp_path / "stage")).getOrDefault("c") == 1.5
+
+
+def test_golden_csv_round_trip(spark, tmp_path):
+    rows = [("g0001", 5, 2, 'say "hi",\nthen go', "refund_request", "", "Easy", "in_scope", "note, with comma")]
+    golden = spark.createDataFrame([tuple(r) for r in rows], schemas.GOLDEN)
+    tables.write_csv(golden, str(tmp_path / "golden"))
+    assert tables.read_golden_csv(spark, str(tmp_path / "golden")).collect() == golden.collect()
+
+
 def test_sigmoids_are_at_the_minimum(model):
     slopes = [a for fold in model.sigmoids for a, _ in fold]
     assert len(slopes) == 9 and all(a > 0 for a in slopes)
