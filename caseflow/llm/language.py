@@ -11,7 +11,8 @@ does not decide. Vectors are whole numbers throughout, hence the order in which
 What is broadcast is one vector for each language; ``max_languages`` bounds it, and fitting fails beyond it.
 
 Defined results. A text that is null or has no letter gets ``und`` with score 0. Training skips such texts, rows with
-a null language and rows that ``use`` leaves out (null included). Without any training row all texts get ``und``.
+a null language and rows that ``use`` leaves out (null included). Very long texts are whole. Repeated rows count each time; columns that are
+not named do not matter, and added ones are renamed where they clash. An empty table gives an empty result. Without any training row all texts get ``und``.
 Ties go to the language that sorts first. The score is the cosine between the text and the centred prototype,
 0 where it is negative.
 """
@@ -112,6 +113,33 @@ def text_vectors(texts: list[str], vectors: Vectors) -> tuple[np.ndarray, np.nda
     return result, lettered
 
 
+def _long_vector(text: str, vectors: Vectors) -> tuple[np.ndarray, bool]:
+    """The same vector for one long text, from pieces: the last letters of a piece are carried to the next one."""
+    g, total, lettered = vectors.gram, np.zeros(vectors.dim), False
+    held = np.array([32], np.int32)
+    for low in range(0, len(text) + 1, PART_CHARS):
+        codes = np.frombuffer(text[low : low + PART_CHARS].lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int32)
+        codes[~_letters()[codes]] = 32
+        codes = codes[(codes != 32) | (np.r_[held[-1], codes[:-1]] != 32)]
+        if low + PART_CHARS > len(text):
+            codes = np.r_[codes, np.int32(32)]
+        lettered = lettered or bool((codes != 32).any())
+        held = np.r_[held, codes]
+        if len(held) < g:
+            continue
+        alphabet, place = np.unique(held, return_inverse=True)
+        packed = np.zeros(len(held) - g + 1, np.int64)
+        for k in range(g):
+            packed = packed * len(alphabet) + place[k : k + len(packed)]
+        grams, count = np.unique(packed, return_counts=True)
+        for first in range(0, len(grams), GRAMS):
+            own = grams[first : first + GRAMS]
+            letters = np.stack([alphabet[(own // len(alphabet) ** (g - 1 - k)) % len(alphabet)] for k in range(g)], axis=1)
+            total += count[first : first + GRAMS].astype(np.float32) @ vectors.bound(letters).astype(np.float32)
+        held = held[len(held) - g + 1 :]
+    return total, lettered
+
+
 def _parts(texts: list[str | None]):
     """Runs of texts of about PART_CHARS characters; a longer text is a run of its own."""
     run, first, total = [], 0, 0
@@ -127,14 +155,11 @@ def _parts(texts: list[str | None]):
 
 
 def _vectors_of(texts: list[str | None], vectors: Vectors):
-    """``first, vectors, has a letter`` for runs of texts. A very long text is the sum of its pieces."""
+    """``first, vectors, has a letter`` for runs of texts. A very long text is taken in pieces, with the same result."""
     for first, run in _parts(texts):
         if len(run) == 1 and len(run[0]) > 2 * PART_CHARS:
-            text, total, lettered = run[0], np.zeros((1, vectors.dim)), False
-            for low in range(0, len(text), PART_CHARS):
-                found, has = text_vectors([text[low : low + PART_CHARS]], vectors)
-                total, lettered = total + found, lettered or bool(has[0])
-            yield first, total, np.array([lettered])
+            total, lettered = _long_vector(run[0], vectors)
+            yield first, total[None, :], np.array([lettered])
         else:
             yield (first, *text_vectors(run, vectors))
 

@@ -294,3 +294,24 @@ def test_variants_ignore_clashing_columns(spark, edge):
     assert {"variants"} <= {r["word"] for r in found.collect()}
     one = spelling.variants(spark.createDataFrame([(None, "x" * 50_000 + " " + "x" * 50_000)], "doc_id long, text string")).collect()
     assert [(len(r["word"]), r["n"], r["root"] == r["word"]) for r in one] == [(len(one[0]["word"]), 2, True)]
+
+
+# --- language vectors of long texts --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("part", [1, 2, 7, 50])
+def test_pieces_of_a_long_text_add_up(monkeypatch, part):
+    import numpy as np
+
+    from caseflow.llm import language
+
+    vectors = language.Vectors(64, 3)
+    for text in ("", " ", "a", "ab", "  Ab, cd\x00 ef--  gh ", "x" * 120, "Ünï cödé, " * 9, ",;" * 40 + "q"):
+        whole, lettered = language.text_vectors([text], vectors)
+        monkeypatch.setattr(language, "PART_CHARS", part)
+        found, has = language._long_vector(text, vectors)
+        monkeypatch.undo()
+        assert (found == whole[0]).all() and has == bool(lettered[0]), text
+    long = "the quick brown fox, " * 60_000  # beyond 2 ** 20 characters, as it is cut in use
+    (_, found, _), = language._vectors_of([long], vectors)
+    assert (found == language.text_vectors([long], vectors)[0]).all() and np.abs(found).sum() > 0
