@@ -98,3 +98,12 @@ def merge_notes(old: Column, new: Column) -> Column:
 def seeded_hash(seed: int, *ids: Column) -> Column:
     """The 'random' order of every sample: equal on every run and every engine."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[i.cast("string") for i in ids]))
+
+
+def fill(template: str, *values: Column) -> Column:
+    """A sentence with ``{}`` in it, filled with text columns; null if one of them is."""
+    pieces = template.split("{}")
+    parts = [F.lit(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [value, F.lit(piece)]
+    return F.concat(*parts)

@@ -1,22 +1,24 @@
-"""One profile row per brand account, all brands in one job."""
+"""One profile row per brand account."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.functions import packs
 from caseflow.functions import text as t
 from caseflow.operators import features as fx
 from caseflow.operators.joins import skewed_join
 from caseflow.operators.ranks import top_n
 from caseflow.session import materialize
 
-# Limits of the diversity check.
-SAMPLE_MAX = 3_000
-SILHOUETTE_MAX = 1_500
+# Clusters of the diversity check, and the size of its published sample.
 CLUSTERS = 8
+SAMPLE_MAX = 3_000
 
 
 def brand_components(messages: DataFrame) -> DataFrame:
@@ -77,107 +79,58 @@ def duplicate_rates(texts: DataFrame) -> DataFrame:
     )
 
 
+def _numbered_texts(texts: DataFrame) -> DataFrame:
+    return texts.where("norm <> ''").select("brand", F.concat_ws(":", "brand", F.md5("norm")).alias("text_id"), "norm")
+
+
 def diversity_sample(texts: DataFrame, n: int = SAMPLE_MAX, seed: int = 42) -> DataFrame:
-    """Up to ``n`` distinct texts per brand: the sampling the measure is defined on."""
-    hashed = texts.where("norm <> ''").withColumn("_h", t.seeded_hash(seed, F.col("norm")))
-    return top_n(hashed, ["brand"], ["_h", "norm"], n, "norm").select(
-        "brand", F.concat_ws(":", "brand", "rank").alias("text_id"), F.col("norm")
-    )
+    """Up to ``n`` distinct texts per brand, by a seeded hash: the sample of the published measure."""
+    hashed = _numbered_texts(texts).withColumn("_h", t.seeded_hash(seed, F.col("norm")))
+    return top_n(hashed, ["brand"], ["_h", "norm"], n, "norm").drop("_h", "rank")
 
 
-def _kmeans(x: np.ndarray, k: int, seed: int, starts: int = 5, steps: int = 100) -> np.ndarray:
-    """Labels of the best of several k-means runs with spread-out first centres."""
-    rng, best, best_cost = np.random.default_rng(seed), None, np.inf
-    square = (x * x).sum(axis=1)
-    for _ in range(starts):
-        centres = x[[rng.integers(len(x))]]
-        while len(centres) < k:
-            gap = np.maximum(square[:, None] - 2 * x @ centres.T + (centres**2).sum(axis=1), 0).min(axis=1)
-            chance = gap / gap.sum() if gap.sum() > 0 else None
-            centres = np.vstack([centres, x[[rng.choice(len(x), p=chance)]]])
-        labels = None
-        for _ in range(steps):
-            gaps = square[:, None] - 2 * x @ centres.T + (centres**2).sum(axis=1)
-            fresh = gaps.argmin(axis=1)
-            if labels is not None and (fresh == labels).all():
-                break
-            labels = fresh
-            for c in np.unique(labels):
-                centres[c] = x[labels == c].mean(axis=0)
-        cost = gaps.min(axis=1).sum()
-        if cost < best_cost:
-            best, best_cost = labels, cost
-    return best
-
-
-def _silhouette(x: np.ndarray, labels: np.ndarray) -> float:
-    """Mean Euclidean silhouette; a member that is alone counts as 0."""
-    square = (x * x).sum(axis=1)
-    gaps = np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * x @ x.T, 0))
-    np.fill_diagonal(gaps, 0)
-    names, codes = np.unique(labels, return_inverse=True)
-    if len(names) < 2:
-        return float("nan")
-    sums = np.stack([gaps[:, codes == c].sum(axis=1) for c in range(len(names))], axis=1)
-    sizes = np.bincount(codes)
-    rows = np.arange(len(x))
-    inner = sums[rows, codes] / np.maximum(sizes[codes] - 1, 1)
-    means = sums / sizes
-    means[rows, codes] = np.inf
-    outer = means.min(axis=1)
-    score = np.where(sizes[codes] > 1, (outer - inner) / np.maximum(np.maximum(outer, inner), 1e-300), 0.0)
-    return float(score.mean())
-
-
-def _measure(k: int, seed: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        known = group[group["idx"].notna()]
-        n, width = len(group), int(group["features"].iloc[0])
-        note, silhouette, balance = "", None, None
-        if n < k * 5:
-            note = "sample too small for reliable clustering"
-        elif width < k:
-            note = "too few TF-IDF features after min_df filter"
-        else:
-            x = np.zeros((n, width))
-            for row, (idx, val) in enumerate(zip(known["idx"], known["val"])):
-                x[row, idx] = val
-            labels = _kmeans(x, k, seed)
-            balance = 1 - np.bincount(labels).max() / n
-            pick = np.random.default_rng(seed).permutation(n)[:SILHOUETTE_MAX]
-            silhouette = _silhouette(x[pick], labels[pick])
-        return pd.DataFrame({
-            "brand": [group["brand"].iloc[0]], "sample_size": [n], "k": [None if note else k],
-            "silhouette": [silhouette], "cluster_balance": [balance], "note": [note],
-        }).astype({"silhouette": "float64", "cluster_balance": "float64"})
-
-    return run
+def _measure(rows: DataFrame, brand: str, k: int, seed: int) -> tuple[float | None, float]:
+    """Silhouette (squared Euclidean) and balance of one brand's k-means clusters."""
+    own = rows.where(F.col("brand") == brand).select("features").persist()
+    try:
+        model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(own)
+        sizes = model.summary.clusterSizes
+        several = sum(n > 0 for n in sizes) > 1
+        score = ClusteringEvaluator(predictionCol="cluster").evaluate(model.transform(own)) if several else None
+        return score, 1 - max(sizes) / sum(sizes)
+    finally:
+        own.unpersist()
 
 
 def brand_diversity(
-    texts: DataFrame, k: int = CLUSTERS, sample: int = SAMPLE_MAX, seed: int = 42,
-    stop_words: tuple[str, ...] | None = None,
+    texts: DataFrame, k: int = CLUSTERS, sample: int | None = None, seed: int = 42,
+    stop_words: tuple[str, ...] | None = None, at_once: int = 4,
 ) -> DataFrame:
-    """TF-IDF clusters of each brand's sample: silhouette, balance, or why there is none.
+    """TF-IDF clusters of each brand's distinct texts: ``sample_size, k, silhouette, cluster_balance``, or a ``note`` why there are none.
 
-    All brands run side by side. A group is one brand's sample, at most ``sample`` rows by
-    3,000 terms by definition of the measure, so its size does not grow with the table.
+    All texts of a brand are clustered, unless ``sample`` asks for the published sample of so many. A brand is clustered and evaluated by
+    Spark ML over its own folder of vectors, ``at_once`` brands side by side; one number of rows and of terms a brand reaches the driver.
     """
     spec = fx.brand_words(stop_words if stop_words is not None else fx.english_stop_words())
-    picked = materialize(diversity_sample(texts, sample, seed), "brand-sample")
+    picked = materialize(_numbered_texts(texts) if sample is None else diversity_sample(texts, sample, seed), "brand-texts")
     by = ("brand",)
     counts = fx.term_counts(picked, "text_id", "norm", spec, by)
     vocab = materialize(fx.vocabulary(counts, fx.count_docs(picked, by), spec, by), "brand-vocabulary")
     vectors = fx.weights(counts, vocab, "text_id", spec, by)
-    widths = vocab.groupBy("brand").agg(F.count("*").alias("features"))
-    rows = (
-        picked.select("brand", "text_id").join(vectors, ["brand", "text_id"], "left")
-        .join(widths, "brand", "left").na.fill(0, ["features"])
-    )
-    return rows.groupBy("brand").applyInPandas(
-        _measure(k, seed),
-        "brand string, sample_size long, k int, silhouette double, cluster_balance double, note string",
-    ).withColumn("silhouette", F.round("silhouette", 4)).withColumn("cluster_balance", F.round("cluster_balance", 4))
+    empty = F.array()
+    rows = picked.select("brand", "text_id").join(vectors, ["brand", "text_id"], "left").select("brand", fx.to_sparse(
+        F.coalesce("idx", empty.cast("array<int>")), F.coalesce("val", empty.cast("array<double>")), spec.max_features).alias("features"))
+    rows = materialize(rows, "brand-vectors", by)
+    widths = vocab.groupBy("brand").agg(F.count("*").alias("width"))
+    sizes = picked.groupBy("brand").agg(F.count("*").alias("n")).join(widths, "brand", "left").na.fill(0, ["width"]).collect()
+    few = {r["brand"]: packs.NOTE_FEW_TEXTS for r in sizes if r["n"] < k * 5}
+    few |= {r["brand"]: packs.NOTE_FEW_TERMS for r in sizes if r["brand"] not in few and r["width"] < k}
+    with ThreadPoolExecutor(at_once) as pool:
+        found = dict(pool.map(lambda b: (b, _measure(rows, b, k, seed)), [r["brand"] for r in sizes if r["brand"] not in few]))
+    table = [(r["brand"], r["n"], None if r["brand"] in few else k, *found.get(r["brand"], (None, None)), few.get(r["brand"], "")) for r in sizes]
+    measured = texts.sparkSession.createDataFrame(
+        table, "brand string, sample_size long, k int, silhouette double, cluster_balance double, note string")
+    return measured.withColumn("silhouette", F.round("silhouette", 4)).withColumn("cluster_balance", F.round("cluster_balance", 4))
 
 
 def brand_profile(messages: DataFrame, with_diversity: bool = True) -> DataFrame:

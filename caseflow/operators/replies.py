@@ -41,33 +41,22 @@ def decide(
     sure, gap, score, label = F.col(confidence), F.col(margin), F.col(top_score), F.col(intent)
     two = lambda c: F.format_number(c.cast("double"), 2)
     low_sure = sure < min_confidence
-    checks: list[tuple[Column, str, Column]] = [
-        (flags["unsupported_language"], "UNSUPPORTED_LANGUAGE",
-         F.lit("Unsupported language detected; requires specialized language support agent.")),
-        (flags["human_request"], "EXPLICIT_HUMAN_REQUEST",
-         F.lit("Customer explicitly requested human agent assistance.")),
-        (taxonomy.risky(label), "HIGH_RISK_INTENT",
-         F.concat(F.lit("Intent '"), label, F.lit(
-             "' involves account security or financial transactions requiring identity verification."))),
-        (~taxonomy.in_scope(label), "OUT_OF_SCOPE_INTENT",
-         F.lit("Customer query falls outside the supported 8-intent customer support taxonomy.")),
-        (low_sure, "LOW_INTENT_CONFIDENCE",
-         F.concat(F.lit("Classifier confidence ("), two(sure), F.lit(
-             f") is below minimum safety threshold ({min_confidence:.2f})."))),
-        (~low_sure & (gap < min_margin), "AMBIGUOUS_INTENT_MARGIN",
-         F.concat(F.lit("Ambiguous intent margin ("), two(gap), F.lit(") between top classes."))),
-        (score.isNull(), "NO_HISTORICAL_EVIDENCE",
-         F.lit("No relevant historical resolution examples were found.")),
-        (score.isNotNull() & (score < min_score), "LOW_RETRIEVAL_CONFIDENCE",
-         F.concat(F.lit("Top historical evidence relevance score ("), two(score), F.lit(
-             f") is below minimum evidence threshold ({min_score:.2f})."))),
-    ]
-    codes = F.array_compact(F.array(*[F.when(hit, F.lit(code)) for hit, code, _ in checks]))
-    texts = F.array_compact(F.array(*[F.when(hit, why) for hit, _, why in checks]))
-    all_clear = F.concat(
-        F.lit("High intent confidence ("), two(sure), F.lit(") and verified grounded historical evidence ("),
-        two(score), F.lit(")."),
-    )
+    limit = lambda x: F.lit(f"{x:.2f}")
+    checks: dict[str, tuple[Column, tuple[Column, ...]]] = {
+        "UNSUPPORTED_LANGUAGE": (flags["unsupported_language"], ()),
+        "EXPLICIT_HUMAN_REQUEST": (flags["human_request"], ()),
+        "HIGH_RISK_INTENT": (taxonomy.risky(label), (label,)),
+        "OUT_OF_SCOPE_INTENT": (~taxonomy.in_scope(label), ()),
+        "LOW_INTENT_CONFIDENCE": (low_sure, (two(sure), limit(min_confidence))),
+        "AMBIGUOUS_INTENT_MARGIN": (~low_sure & (gap < min_margin), (two(gap),)),
+        "NO_HISTORICAL_EVIDENCE": (score.isNull(), ()),
+        "LOW_RETRIEVAL_CONFIDENCE": (score.isNotNull() & (score < min_score), (two(score), limit(min_score))),
+    }
+    codes = F.array_compact(F.array(*[F.when(hit, F.lit(code)) for code, (hit, _) in checks.items()]))
+    texts = F.array_compact(F.array(*[
+        F.when(hit, t.fill(packs.GATE_REASONS[code], *values)) for code, (hit, values) in checks.items()
+    ]))
+    all_clear = t.fill(packs.GATE_CLEAR, two(sure), two(score))
     escalate = F.size("reason_codes") > 0
     return (
         df.withColumn("reason_codes", codes).withColumn("reasons", texts)
@@ -106,24 +95,19 @@ def draft_reply(
 
 def evidence_text(evidence: Column) -> Column:
     """Ranked cases as a block of text for a model outside this system."""
-    lines = F.transform(evidence, lambda e, i: F.concat(
-        F.lit("Case #"), (i + 1).cast("string"), F.lit(" (ID: "), e["case_id"], F.lit(", Similarity: "),
-        F.format_number(e["similarity_score"].cast("double"), 2), F.lit(", Intent: "), e["intent"], F.lit('):\n  Customer asked: "'),
-        e["historical_customer_text"], F.lit('"\n  Brand resolution: "'), e["historical_agent_reply"], F.lit('"'),
+    lines = F.transform(evidence, lambda e, i: t.fill(
+        packs.EVIDENCE_LINE, (i + 1).cast("string"), e["case_id"], F.format_number(e["similarity_score"].cast("double"), 2),
+        e["intent"], e["historical_customer_text"], e["historical_agent_reply"],
     ))
-    return F.when(F.size(evidence) > 0, F.array_join(lines, "\n\n")).otherwise("No historical evidence available.")
+    return F.when(F.size(evidence) > 0, F.array_join(lines, "\n\n")).otherwise(packs.NO_EVIDENCE)
 
 
 def evidence_prompt(
     df: DataFrame, text: str = "text", intent: str = "intent", confidence: str = "confidence", evidence: str = "evidence"
 ) -> DataFrame:
     """Adds ``prompt``: message, intent and cases."""
-    return df.withColumn("prompt", F.concat(
-        F.lit('CUSTOMER MESSAGE:\n"'), F.col(text), F.lit('"\n\nPREDICTED INTENT:\n'), F.col(intent),
-        F.lit(" (Confidence: "), F.format_number(F.col(confidence).cast("double"), 2),
-        F.lit(")\n\nRETRIEVED HISTORICAL EVIDENCE:\n"), evidence_text(F.col(evidence)),
-        F.lit("\n\nDraft a concise, evidence-grounded Twitter support reply following the guidelines.\n"),
-    ))
+    sure = F.format_number(F.col(confidence).cast("double"), 2)
+    return df.withColumn("prompt", t.fill(packs.PROMPT, F.col(text), F.col(intent), sure, evidence_text(F.col(evidence))))
 
 
 # The rubric's words, marks and limits.

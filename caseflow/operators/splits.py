@@ -220,18 +220,15 @@ def build_golden_set(
     )
     tested = mixed_quota_sample(pool.where("split = 'test'"), quotas, seed=seed).withColumn(
         "note",
-        F.when(F.col("heuristic_intent") == pack.default,
-               "no heuristic pattern matched -- candidate Other/Out-of-Scope or missed phrasing")
-        .when(F.col("is_multi"), F.format_string(
-            "heuristic multi-pattern match (%d patterns) -- candidate ambiguous/confusable example",
-            F.col("n_pattern_hits")))
-        .otherwise("heuristic single-pattern match"),
+        F.when(F.col("heuristic_intent") == pack.default, packs.NOTE_UNMATCHED)
+        .when(F.col("is_multi"), t.fill(packs.NOTE_MULTI, F.col("n_pattern_hits").cast("string")))
+        .otherwise(packs.NOTE_SINGLE),
     )
     outside = quota_sample(
         pool.where(F.col("split") == OUT_SPLIT), "split", "component_id",
         {OUT_SPLIT: non_english_quota}, seed,
     ).drop("rank").withColumn("is_multi", F.lit(False)).withColumn(
-        "note", F.lit("sampled from out_of_scope_non_english pool (heuristic non-English marker matched)")
+        "note", F.lit(packs.NOTE_NON_ENGLISH)
     )
     order = F.coalesce(*[
         F.when(F.col("heuristic_intent") == name, F.lit(i)) for i, name in enumerate(quotas)

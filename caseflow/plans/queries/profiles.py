@@ -75,6 +75,11 @@ def brand_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brands.brand_diversity(brands.brand_texts(standin.with_components(spark, sf_dir)))
 
 
+def diversity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published sample of each brand's distinct texts, here with 20 texts a brand."""
+    return brands.diversity_sample(brands.brand_texts(standin.with_components(spark, sf_dir)), 20).select("brand", F.md5("norm").alias("norm_md5"))
+
+
 def source_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages through CSV, JSON and a partitioned table; each must come back whole."""
     raw = standin.messages_raw(spark, sf_dir)
@@ -100,7 +105,7 @@ def source_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     table_shapes, null_counts, duplicate_keys, duplicate_rows, value_counts, blank_texts, top_authors,
-    first_authors, root_messages, brand_profile, brand_diversity, source_round_trips,
+    first_authors, root_messages, brand_profile, brand_diversity, diversity_sample, source_round_trips,
 )}
 
 ORACLES = {
@@ -144,6 +149,11 @@ ORACLES = {
         d AS (SELECT brand, count(DISTINCT norm) AS n_distinct_messages,
               round(100 * (1 - count(DISTINCT norm) / count(*)), 2) AS duplicate_pct FROM tx GROUP BY 1)
         SELECT * FROM m LEFT JOIN d USING (brand)""",
+    "diversity_sample": f"""WITH {base.MSG},
+        bc AS (SELECT DISTINCT author_id AS brand, component_id FROM raw WHERE NOT inbound),
+        tx AS (SELECT DISTINCT brand, {base.sql_normal("text")} AS norm FROM raw JOIN bc USING (component_id) WHERE inbound)
+        SELECT brand, md5(norm) AS norm_md5 FROM tx WHERE norm <> ''
+        QUALIFY row_number() OVER (PARTITION BY brand ORDER BY md5('42:' || norm), norm) <= 20""",
     "source_round_trips": f"WITH {base.MSG}" + " UNION ALL ".join(
         f"""SELECT '{form}' AS form, count(*) AS rows, CAST(sum(tweet_id) AS BIGINT) AS id_sum,
         CAST(sum(length(text)) AS BIGINT) AS text_chars, count(parent) AS parents,

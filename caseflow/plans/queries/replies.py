@@ -107,20 +107,27 @@ _gate = (
     f"({base.sql_match('text', packs.GATE_LANGUAGE)} OR regexp_matches(text, "
     r"'[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{0600}-\x{06ff}\x{0400}-\x{04ff}]'))"
 )
+
+
+def _fill(template: str, *values: str) -> str:
+    """A sentence of the fixed values with SQL expressions in its gaps."""
+    pieces = template.split("{}")
+    return " || ".join(x for k, piece in enumerate(pieces) for x in (_q(piece), *values[k : k + 1]))
+
+
+def _reason(code: str, *values: str) -> str:
+    return _fill(packs.GATE_REASONS[code], *values)
+
+
 _checks = [
-    ("UNSUPPORTED_LANGUAGE", _gate, _q("Unsupported language detected; requires specialized language support agent.")),
-    ("EXPLICIT_HUMAN_REQUEST", base.sql_match("text", packs.GATE_HUMAN), _q("Customer explicitly requested human agent assistance.")),
-    ("HIGH_RISK_INTENT", f"intent IN {base.sql_list(packs.TAXONOMY.high_risk)}",
-     "'Intent ''' || intent || ''' involves account security or financial transactions requiring identity verification.'"),
-    ("OUT_OF_SCOPE_INTENT", f"intent NOT IN {base.sql_list(packs.TAXONOMY.labels)}",
-     _q("Customer query falls outside the supported 8-intent customer support taxonomy.")),
-    ("LOW_INTENT_CONFIDENCE", "confidence < 0.52",
-     f"'Classifier confidence (' || {_two('confidence')} || ') is below minimum safety threshold (0.52).'"),
-    ("AMBIGUOUS_INTENT_MARGIN", "confidence >= 0.52 AND margin < 0.08",
-     f"'Ambiguous intent margin (' || {_two('margin')} || ') between top classes.'"),
-    ("NO_HISTORICAL_EVIDENCE", "top_score IS NULL", _q("No relevant historical resolution examples were found.")),
-    ("LOW_RETRIEVAL_CONFIDENCE", "coalesce(top_score < 0.28, false)",
-     f"'Top historical evidence relevance score (' || {_two('top_score')} || ') is below minimum evidence threshold (0.28).'"),
+    ("UNSUPPORTED_LANGUAGE", _gate, _reason("UNSUPPORTED_LANGUAGE")),
+    ("EXPLICIT_HUMAN_REQUEST", base.sql_match("text", packs.GATE_HUMAN), _reason("EXPLICIT_HUMAN_REQUEST")),
+    ("HIGH_RISK_INTENT", f"intent IN {base.sql_list(packs.TAXONOMY.high_risk)}", _reason("HIGH_RISK_INTENT", "intent")),
+    ("OUT_OF_SCOPE_INTENT", f"intent NOT IN {base.sql_list(packs.TAXONOMY.labels)}", _reason("OUT_OF_SCOPE_INTENT")),
+    ("LOW_INTENT_CONFIDENCE", "confidence < 0.52", _reason("LOW_INTENT_CONFIDENCE", _two("confidence"), "'0.52'")),
+    ("AMBIGUOUS_INTENT_MARGIN", "confidence >= 0.52 AND margin < 0.08", _reason("AMBIGUOUS_INTENT_MARGIN", _two("margin"))),
+    ("NO_HISTORICAL_EVIDENCE", "top_score IS NULL", _reason("NO_HISTORICAL_EVIDENCE")),
+    ("LOW_RETRIEVAL_CONFIDENCE", "coalesce(top_score < 0.28, false)", _reason("LOW_RETRIEVAL_CONFIDENCE", _two("top_score"), "'0.28'")),
 ]
 _codes = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c, _ in _checks) + "], lambda x: x IS NOT NULL)"
 _reasons = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {w} END" for _, c, w in _checks) + "], lambda x: x IS NOT NULL)"
@@ -138,8 +145,7 @@ def sql_decided(source: str) -> str:
     return f"""s2 AS (SELECT *, {_codes} AS codes, {_reasons} AS why, {_scrubbed} AS scrubbed FROM {source}),
 s3 AS (
   SELECT *, CASE WHEN len(codes) > 0 THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision,
-         CASE WHEN len(codes) > 0 THEN why[1] ELSE 'High intent confidence (' || {_two('confidence')}
-              || ') and verified grounded historical evidence (' || {_two('top_score')} || ').' END AS reason,
+         CASE WHEN len(codes) > 0 THEN why[1] ELSE {_fill(packs.GATE_CLEAR, _two('confidence'), _two('top_score'))} END AS reason,
          CASE WHEN top_score IS NULL THEN {_q(packs.REPLY_NO_EVIDENCE)}
               WHEN length(scrubbed) >= 20 AND NOT starts_with(lower(scrubbed), '{replies.NOT_REUSED}') THEN scrubbed
               ELSE {_template} END AS suggested_reply FROM s2),"""
@@ -184,14 +190,8 @@ s1 AS (
 {sql_scored("s1")}
 """
 
-_prompt = (
-    "'CUSTOMER MESSAGE:' || chr(10) || '\"' || text || '\"' || chr(10) || chr(10) || 'PREDICTED INTENT:' || chr(10) || intent "
-    f"|| ' (Confidence: ' || {_two('confidence')} || ')' || chr(10) || chr(10) || 'RETRIEVED HISTORICAL EVIDENCE:' || chr(10) || "
-    "CASE WHEN top_score IS NULL THEN 'No historical evidence available.' ELSE 'Case #1 (ID: case_' || component_id "
-    f"|| ', Similarity: ' || {_two('top_score')} || ', Intent: ' || intent || '):' || chr(10) || '  Customer asked: \"' || text || '\"' "
-    "|| chr(10) || '  Brand resolution: \"' || piece || '\"' END || chr(10) || chr(10) "
-    "|| 'Draft a concise, evidence-grounded Twitter support reply following the guidelines.' || chr(10)"
-)
+_line = _fill(packs.EVIDENCE_LINE, "'1'", "'case_' || component_id", _two("top_score"), "intent", "text", "piece")
+_prompt = _fill(packs.PROMPT, "text", "intent", _two("confidence"), f"CASE WHEN top_score IS NULL THEN {_q(packs.NO_EVIDENCE)} ELSE {_line} END")
 
 ORACLES = {
     "escalation_codes": f"""WITH {SCORED} SELECT tweet_id, array_to_string(codes, ',') AS codes, decision, reason,

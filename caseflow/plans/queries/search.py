@@ -13,11 +13,13 @@ from caseflow.session import materialize, scratch_path
 
 
 def _setting(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, retrieval.Index]:
-    """Every customer message as a query, against an index of the train split's pairs."""
+    """Every customer message as a query, some without a text, against an index of the train split's pairs."""
     stored, assignment = base.assigned(spark, sf_dir)
     index = retrieval.fit_index(conv.resolution_pairs(stored, assignment))
     label = packs.TAXONOMY.label_of(base.PACK.first_match(F.col("text")))
-    queries = stored.where("inbound").select(F.col("tweet_id").cast("string").alias("q_id"), "text", label.alias("gold"))
+    n, text = F.col("tweet_id"), F.col("text")
+    asked = F.when(n % 41 != 0, F.when(n % 43 == 0, F.lit("@us https://a.b/c")).when(n % 47 == 0, F.lit("")).otherwise(text))
+    queries = stored.where("inbound").select(n.cast("string").alias("q_id"), asked.alias("text"), label.alias("gold"))
     return queries, index
 
 
@@ -96,9 +98,14 @@ qdocs AS (SELECT q_id, text FROM queries),
 {_pairs("sem", lambda d, i, n: terms.sql_char_counts(d, i, n), 3, 35000)}"""
 
 
-_asked = f"""queries AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {base.sql_clean("text")} AS text, {_gold} AS gold
-            FROM msg WHERE inbound AND {base.sql_clean("text")} <> '')"""
-FOUND = f"{base.CORPUS},{sql_found(_asked)}"
+def _asked(text: str) -> str:
+    return f"""queries AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {base.sql_clean(text)} AS text, {_gold} AS gold
+            FROM msg WHERE inbound AND {base.sql_clean(text)} <> '')"""
+
+
+FOUND = f"{base.CORPUS},{sql_found(_asked('text'))}"
+#: The same for queries some of which have no text left after cleaning.
+GAPPED = f"{base.CORPUS},{sql_found(_asked("CASE WHEN tweet_id % 41 = 0 OR tweet_id % 43 = 0 OR tweet_id % 47 = 0 THEN '' ELSE text END"))}"
 
 SAME = f"c.intent = q.gold AND q.gold IN {base.sql_list(packs.TAXONOMY.labels)}"
 _columns = "q_id, rank, case_id, score, lexical_score, semantic_score, intent, is_sufficient"
@@ -116,10 +123,10 @@ def _metrics(best: str, how: str) -> str:
 
 
 ORACLES = {
-    "hybrid_topk": f"WITH {FOUND}, {sql_search('false', 3)} SELECT {_columns} FROM best",
-    "saved_index_topk": f"WITH {FOUND}, {sql_search('false', 3)} SELECT {_columns} FROM best",
-    "conditioned_topk": f"WITH {FOUND}, {sql_search(SAME, 5)} SELECT {_columns} FROM best",
-    "retrieval_metrics": f"""WITH {FOUND}, {sql_search('false', 5, "b0")}, {sql_search(SAME, 5, "b1")},
+    "hybrid_topk": f"WITH {GAPPED}, {sql_search('false', 3)} SELECT {_columns} FROM best",
+    "saved_index_topk": f"WITH {GAPPED}, {sql_search('false', 3)} SELECT {_columns} FROM best",
+    "conditioned_topk": f"WITH {GAPPED}, {sql_search(SAME, 5)} SELECT {_columns} FROM best",
+    "retrieval_metrics": f"""WITH {GAPPED}, {sql_search('false', 5, "b0")}, {sql_search(SAME, 5, "b1")},
         all_q AS (SELECT CAST(tweet_id AS VARCHAR) AS q_id, {_gold} AS gold FROM msg WHERE inbound)
         {_metrics("b0", "none")} UNION ALL {_metrics("b1", "gold")}""",
 }

@@ -159,12 +159,12 @@ test_pool AS (SELECT * FROM pool WHERE split = 'test'),
 {_mixed("test_pool", "heuristic_intent", "component_id", "n_pattern_hits", QUOTAS, "unmatched_other")},
 sampled AS (
   SELECT component_id, tweet_id, text, n_pattern_hits, heuristic_intent, split, bucket, is_multi,
-         CASE WHEN heuristic_intent = 'unmatched_other' THEN 'no heuristic pattern matched -- candidate Other/Out-of-Scope or missed phrasing'
-              WHEN is_multi THEN 'heuristic multi-pattern match (' || n_pattern_hits || ' patterns) -- candidate ambiguous/confusable example'
-              ELSE 'heuristic single-pattern match' END AS note FROM mixed
+         CASE WHEN heuristic_intent = 'unmatched_other' THEN '{packs.NOTE_UNMATCHED}'
+              WHEN is_multi THEN replace('{packs.NOTE_MULTI}', '{{}}', CAST(n_pattern_hits AS VARCHAR))
+              ELSE '{packs.NOTE_SINGLE}' END AS note FROM mixed
   UNION ALL
   SELECT component_id, tweet_id, text, n_pattern_hits, heuristic_intent, split, {len(QUOTAS)}, false,
-         'sampled from out_of_scope_non_english pool (heuristic non-English marker matched)'
+         '{packs.NOTE_NON_ENGLISH}'
   FROM (SELECT *, row_number() OVER (ORDER BY md5('{base.SEED}:' || component_id), component_id) AS rk
         FROM pool WHERE split = 'out_of_scope_non_english') WHERE rk <= {packs.NON_ENGLISH_QUOTA}),
 numbered AS (SELECT *, row_number() OVER (ORDER BY bucket, is_multi DESC, md5('{base.SEED}:' || component_id), component_id) AS rn

@@ -72,8 +72,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         _SCOPE.reset(token)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder, in a folder for each value of ``by``, and read it back.
 
     This cuts the lineage: a lost executor re-reads the table and computes nothing
     again. It also makes a result that is read more than once cost one job.
@@ -81,5 +81,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     if (written := _SCOPE.get()) is not None:
         written.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

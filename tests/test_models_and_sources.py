@@ -107,3 +107,10 @@ def test_brand_diversity_notes(spark):
     assert rows["few"].note == "sample too small for reliable clustering" and rows["few"].silhouette is None
     assert rows["same"].note == "too few TF-IDF features after min_df filter"
     assert rows["rich"].note == "" and -1 <= rows["rich"].silhouette <= 1 and 0 < rows["rich"].cluster_balance < 1
+    assert rows["rich"].sample_size == 64 and rows["rich"].k == brands.CLUSTERS
+    sampled = {r.brand: r for r in brands.brand_diversity(df, sample=45).collect()}
+    assert sampled["rich"].sample_size == 45 and sampled["few"] == rows["few"]
+    # two groups of texts without a common word: one silhouette near 1, and half of the texts in each cluster
+    pairs = spark.createDataFrame([("b", f"{'aa bb' if i % 2 else 'cc dd'} once{i}") for i in range(40)], "brand string, norm string").withColumn("n", F.lit(1))
+    two = brands.brand_diversity(pairs, k=2).first()
+    assert two.silhouette > 0.99 and two.cluster_balance == 0.5
