@@ -25,7 +25,10 @@ from caseflow.session import materialize
 TOLERANCE = 1e-6
 # Newton steps with halving end long before this; beyond it something is wrong.
 NEWTON_ERROR = 1_000
+# Training rows a task: at least so many if cores are to spare, and never more than so many.
 ROWS_PER_TASK = 1_000
+MOST_ROWS_PER_TASK = 50_000
+MAX_LABELS = 1_000
 
 # Thresholds of the classifier's own confidence flag.
 MIN_CONFIDENCE = 0.55
@@ -33,8 +36,11 @@ MIN_MARGIN = 0.10
 
 
 def label_table(train: DataFrame, label: str) -> list[str]:
-    """The label names in order: the one thing about the rows that reaches the driver."""
-    return [r[0] for r in train.select(label).distinct().orderBy(label).collect()]
+    """The label names in order: the one thing about the rows that reaches the driver. More than ``MAX_LABELS`` are an error."""
+    names = [r[0] for r in train.select(label).distinct().orderBy(label).limit(MAX_LABELS + 1).collect()]
+    if len(names) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels in {label}")
+    return names
 
 
 def _label_index(col: Column, labels: list[str]) -> Column:
@@ -46,8 +52,9 @@ def _label_name(index: Column, labels: list[str]) -> Column:
 
 
 def _spread(rows: DataFrame, n: int) -> DataFrame:
-    """Training rows over as many tasks as they keep busy in a solver step, at most one a core."""
-    return rows.repartition(max(1, min(rows.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))))
+    """Training rows over as many tasks as they keep busy in a solver step: one a core, or more where a task would hold too many."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(cores, -(-n // ROWS_PER_TASK)), -(-n // MOST_ROWS_PER_TASK)))
 
 
 def _converged(model: LogisticRegressionModel, max_iter: int) -> LogisticRegressionModel:
