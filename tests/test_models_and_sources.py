@@ -46,6 +46,15 @@ def test_certificate_tells_an_optimum(train, model):
     assert all(r.largest_gradient > 1e-3 for r in off)
 
 
+def test_certificate_without_arrow(spark, train, model):
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        told = IntentClassifier(folds=3).certificate(model, train, "id", "text", "label").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    assert [r.fold for r in told] == [0, 1, 2] and all(r.largest_gradient < 1e-5 for r in told)
+
+
 def test_stages_in_a_pipeline(spark, train, tmp_path):
     stage = IntentEstimator(rowIdCol="id", labelCol="label", folds=2, c=1.5, minConfidence=0.7, minMargin=0.2)
     fitted = Pipeline(stages=[stage]).fit(train)
