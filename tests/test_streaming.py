@@ -9,6 +9,7 @@ from caseflow.operators import features as fx
 from caseflow.operators import retrieval
 from caseflow.operators.models import RuleClassifier
 from caseflow.plans import triage
+from caseflow.plans.queries import models as queries
 from caseflow.session import checkpoint_root, materialize, scratch_scope
 from caseflow.streaming import triage as streaming
 
@@ -75,3 +76,15 @@ def test_gates_are_the_same_on_a_stream(spark, tmp_path):
     done.awaitTermination()
     told = spark.read.parquet(f"{tmp_path}/o").orderBy("q_id").collect()
     assert told == streaming.stateless(rows, MODEL.pack).orderBy(F.col("q_id")).collect()
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_a_stream_reads_a_file_or_a_folder(spark, tmp_path, files):
+    """The table is one file (0), or a folder of files."""
+    turns = spark.createDataFrame([(i, 0, "user", f"message {i}") for i in range(6)], "conv_id long, turn long, role string, text string")
+    place = f"{tmp_path}/conversations.parquet"
+    if files:
+        turns.repartition(files).write.parquet(place)
+    else:
+        turns.toPandas().to_parquet(place)
+    assert sorted(r.tweet_id for r in queries.streaming_gates(spark, str(tmp_path)).collect()) == [i * 1000 for i in range(6)]
