@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseflow import schemas
 from caseflow.operators import features as fx
 from caseflow.operators import postings, retrieval
+from caseflow.plans.queries import search as queries
 
 CASES = {
     "case_1": ("my parcel is late again today", "Delivery Issue"),
@@ -170,3 +171,12 @@ def test_tokens_and_short_words(spark):
     assert {r.term: r.tf for r in grams.collect()} == {" a ": 2, " bc": 1, "bc ": 1, " bc ": 1}
     runs = df.select(fx.word_ngrams(F.array(*[F.lit(x) for x in "pqr"]), 1, 3).alias("g")).first().g
     assert runs == ["p", "q", "r", "p q", "q r", "p q r"]
+
+
+def test_registered_searches_ask_every_message(spark, tmp_path):
+    """Messages whose numbers are divisible by 41, 43 or 47 are asked with their own texts too."""
+    told = lambda c, t: f"parcel {c % 3} and refund of order number {t} that is late"
+    rows = [(c, t, ("user", "assistant")[t % 2], told(c, t)) for c in range(30, 50) for t in range(2)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    for query, k in ((queries.hybrid_topk, 3), (queries.conditioned_topk, 5)):
+        assert {r.q_id: r["count"] for r in query(spark, str(tmp_path)).groupBy("q_id").count().collect()} == {str(c * 1000): k for c in range(30, 50)}
