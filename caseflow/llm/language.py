@@ -245,9 +245,11 @@ def report(docs: DataFrame) -> DataFrame:
     return told.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.0, as_stated: bool = False) -> DataFrame:
     """The documents whose language could be told with at least ``min_score``; whole rows, columns as they were.
 
+    With ``as_stated``, documents go too whose ``lang`` names another language than the text is told to be in.
+
     Learns from the documents' own ``lang`` column. Without any such row nothing can be told apart, and
     the documents with a letter stay.
     """
@@ -256,4 +258,7 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     told = model.predict(docs)
     pred, score = told.columns[-2:]
-    return told.where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)).select(*docs.columns)
+    kept = (F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)
+    if as_stated:
+        kept &= F.col("lang").isNull() | (F.col("lang").cast("string") == F.col(pred))
+    return told.where(kept).select(*docs.columns)

@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), where docs is what the stage before it kept, and returns what it keeps. All but the last
 return the columns of the documents.
 
-1. language: documents without a recognisable language go.
+1. language: documents without a recognisable language go, and those told to be in another language than ``lang`` says.
 2. near_dedup: of each group of near duplicates (shingles of five words, similarity of at least 0.8) one document stays.
 3. decontaminate: documents that hold ten consecutive words of a benchmark item go.
 4. mix: sources are brought to their target shares; a row for each whole copy or part that the mix takes.
@@ -20,7 +20,7 @@ from caseflow.llm.tables import materialize, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.keep_identified(docs)
+    return language.keep_identified(docs, as_stated=True)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

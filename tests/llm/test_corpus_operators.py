@@ -148,3 +148,13 @@ def test_pipeline_by_brute_force(spark, sf_dir):
         for s, e, row, start in zip(r["cu_seqlens"][:-1], r["cu_seqlens"][1:], r["doc_rows"], r["piece_starts"], strict=True):
             read.setdefault(row, []).append((start, ids[s:e].tolist()))
     assert Counter(b"".join(table[i] for _, p in sorted(x) for i in p).decode() for x in read.values()) == expected
+
+
+def test_language_stage_drops_what_is_stated_wrongly(spark):
+    english, german = "the quick brown fox was with them and that dog", "die katze und der hund sind nicht hier geblieben"
+    rows = [(k, f"{(english, german)[k % 2]} {k}", ("en", "de")[k % 2]) for k in range(40)]
+    rows += [(100, german, "en"), (101, english, "de"), (102, german, None), (103, "...", "en"), (104, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 102]
