@@ -3,7 +3,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from caseflow import schemas
-from caseflow.operators import brands, profile
+from caseflow.operators import brands, models, profile
 from caseflow.operators.models import IntentClassifier, IntentModel, MajorityBaseline, TfidfLogisticBaseline
 from caseflow.operators.stages import IntentEstimator
 from caseflow.sources import tables
@@ -55,6 +55,17 @@ def test_certificate_without_arrow(spark, train, model):
     assert [r.fold for r in told] == [0, 1, 2] and all(r.largest_gradient < 1e-5 for r in told)
 
 
+def test_fits_side_by_side_share_the_cores(spark, train, monkeypatch):
+    """On twelve cores a step of each of five fits has three tasks, and so shuffles three gradients."""
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 12))
+    spread, taken = models._spread, []
+    monkeypatch.setattr(models, "_spread", lambda *a: taken.append(spread(*a).rdd.getNumPartitions()) or spread(*a))
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 1)
+    IntentClassifier().fit(train, "id", "text", "label")
+    assert taken == [3]
+    assert spread(train, 48_000, 1).rdd.getNumPartitions() == 12 and spread(train, 10**6, 5).rdd.getNumPartitions() <= 20
+
+
 def test_stages_in_a_pipeline(spark, train, tmp_path):
     stage = IntentEstimator(rowIdCol="id", labelCol="label", folds=2, c=1.5, minConfidence=0.7, minMargin=0.2)
     fitted = Pipeline(stages=[stage]).fit(train)
