@@ -139,6 +139,35 @@ def test_bounds_skip_blocks_and_lose_nothing():
     assert visited < 0.7 * 20 * chunk.n_blocks
 
 
+def test_groups_of_queries_go_by_product(monkeypatch):
+    """Cases that share terms, so that bounds rule out nothing: most queries meet all cases at once, with the same results."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    n, terms, k = 700, 90, 4
+    weights = rng.random((n, terms)) * (rng.random((n, terms)) < np.linspace(0.9, 0.01, terms))
+    weights[-1] = weights[3]
+    intents = [f"i{c % 3}" for c in range(n)]
+    rows, members = [], []
+    for b in range(-(-n // postings.BLOCK)):
+        part = weights[b * postings.BLOCK : (b + 1) * postings.BLOCK]
+        members.append((b, [f"{b * postings.BLOCK + i:05d}" for i in range(len(part))], intents[b * postings.BLOCK :][: len(part)]))
+        for t in np.flatnonzero(part.any(axis=0)):
+            slots = [int(s) for s in np.argsort(-part[:, t], kind="stable") if part[s, t] > 0]
+            rows.append((b, int(t), float(part[:, t].max()), slots, [float(part[s, t]) for s in slots]))
+    table = pa.table([pa.array(x) for x in zip(*rows)], ["block", "term", "top", "slots", "weights"])
+    chunk = postings.Chunk(table, pa.table([pa.array(x) for x in zip(*members)], ["block", "case_ids", "intents"]))
+    queries = [(np.flatnonzero(w), w[w > 0]) for w in weights[:40]] + [(np.array([terms + 5]), np.array([1.0])), (np.empty(0, int), np.empty(0))]
+    wanted, held = ["i1", None, "none"] * 14, [[(0.0, 0.0, 0.0, f"{c:05d}") for c in range(k)] for _ in queries]
+    single = [chunk.search(*q, w, h, k, 0.45, 0.55, 0.15)[0] for q, w, h in zip(queries, wanted, held)]
+    search, asked = postings.Chunk.search, []
+    monkeypatch.setattr(postings.Chunk, "search", lambda self, *a: asked.append(1) or search(self, *a))
+    told = [best for best, _ in chunk.search_all(queries, wanted, held, k, 0.45, 0.55, 0.15)]
+    digits = lambda found: [[(r[3], *(round(x, 9) for x in r[:3])) for r in best] for best in found]
+    assert digits(told) == digits(single) and told[3][0][3] == "00003" and len(asked) == postings.PROBES
+
+
 def test_saved_index(spark, index, tmp_path):
     retrieval.save_index(index, str(tmp_path / "index"))
     loaded = retrieval.load_index(spark, str(tmp_path / "index"))
