@@ -32,6 +32,9 @@ Words are told apart by 63 bits of a hash.
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import suppress
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -47,9 +50,9 @@ DEPTH = 4
 END = 0xFF
 SLICE_BYTES = 32 << 20
 PACK_BYTES = 2 << 20
-WINDOW = 1 << 20
-#: Counts of a slice are merged when there are so many.
-PENDING = 1 << 21
+WINDOW = 1 << 19
+#: New keys of a slice are merged when there are so many.
+PENDING = 1 << 19
 ROWS = 1 << 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -91,28 +94,49 @@ def _word_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return -1 - (hashes >> np.uint64(1)).astype(np.int64), starts
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system, so that workers hold little while the steps on columns run."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class _Counts:
-    """Different keys of a slice with their learnt counts."""
+    """Different keys of a slice with their learnt counts, in order; what came since the last merge is kept apart."""
 
     def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+        self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.fresh, self.held = [], 0
 
     def add(self, keys: np.ndarray, learnt: np.ndarray) -> None:
         for chosen, weight in ((keys[learnt], 1), (keys[~learnt], 0)):
             if len(chosen):
                 found, n = np.unique(chosen, return_counts=True)
-                self.keys.append(found)
-                self.counts.append(n * weight)
+                self.fresh.append((found, n * weight))
                 self.held += len(found)
         if self.held > PENDING:
-            keys, counts = self.total()
-            self.keys, self.counts, self.held = [keys], [counts], 0
+            self._merge()
+
+    def _merge(self) -> None:
+        """What is new goes to its place between the keys so far, which are copied once and never sorted again."""
+        keys, counts = (np.concatenate(x) for x in zip(*self.fresh))
+        self.fresh, self.held = [], 0
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, counts = keys[first], np.add.reduceat(counts, first)
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        self.counts[at[known]] += counts[known]
+        at, keys, counts = at[~known], keys[~known], counts[~known]
+        self.keys, self.counts = np.insert(self.keys, at, keys), np.insert(self.counts, at, counts)
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, back = np.unique(np.concatenate([np.empty(0, np.int64), *self.keys]), return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, back, np.concatenate([np.empty(0, np.int64), *self.counts]))
-        return keys, counts
+        if self.fresh:
+            self._merge()
+        return self.keys, self.counts
 
 
 def _gather(docs: DataFrame, depth: int) -> DataFrame:
@@ -125,6 +149,7 @@ def _gather(docs: DataFrame, depth: int) -> DataFrame:
 
     def gather(batches):
         names = [f.name for f in schema]
+        _give_back()
         number, held, counts, arrow = TaskContext.get().partitionId() << 32, 0, _Counts(), None
 
         def key_rows():
@@ -155,8 +180,11 @@ def _gather(docs: DataFrame, depth: int) -> DataFrame:
             if held >= SLICE_BYTES:
                 yield from key_rows()
                 number, held, counts = number + 1, 0, _Counts()
+                _give_back()
         if arrow:
             yield from key_rows()
+        counts = batch = data = flat = None
+        _give_back()
 
     return docs.mapInArrow(gather, schema)
 
@@ -250,9 +278,11 @@ def _score(packs: DataFrame, values: DataFrame, tokens: int, kinds: int, ends: i
     space = tokens + ends + kinds + (1 if ends else 0) + 1
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, own = right.column("key").to_numpy(), right.column("value").to_numpy()
+        _give_back()
+        keys, out = right.column("key").to_numpy(), []
         order = np.argsort(keys)
-        keys, own, out = keys[order], own[order], []
+        keys, own = keys[order], right.column("value").to_numpy()[order]
+        del order
         for k in range(left.num_rows):
             ids, learnt, sizes = (left.column(c)[k].values for c in ("ids", "learn", "sizes"))
             sizes = sizes.to_numpy()
