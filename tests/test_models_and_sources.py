@@ -134,3 +134,11 @@ def test_brand_diversity_notes(spark):
     pairs = spark.createDataFrame([("b", f"{'aa bb' if i % 2 else 'cc dd'} once{i}") for i in range(40)], "brand string, norm string").withColumn("n", F.lit(1))
     two = brands.brand_diversity(pairs, k=2).first()
     assert two.silhouette > 0.99 and two.cluster_balance == 0.5
+
+
+def test_solver_takes_large_blocks(train, monkeypatch):
+    fit, taken = models.LogisticRegression.fit, []
+    monkeypatch.setattr(models.LogisticRegression, "fit", lambda self, rows: taken.append(self.getMaxBlockSizeInMB()) or fit(self, rows))
+    TfidfLogisticBaseline().fit(train, "id", "text", "label")
+    IntentClassifier(folds=2).fit(train, "id", "text", "label")
+    assert taken == [models.BLOCK_MB] * 3
