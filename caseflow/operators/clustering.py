@@ -80,7 +80,11 @@ def fit_topics(
     vocab = materialize(fx.vocabulary(counts, fx.count_docs(docs), spec), "topic-vocabulary")
     vectors = materialize(fx.weights(counts, vocab, row_id, spec), "topic-vectors")
     rows = materialize(fx.union_vectors(docs, row_id, [(vectors, vocab.count())], "features"), "topic-features")
-    model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(rows.persist())
+    # read once per step, so held on the executors, without the texts
+    held = rows.select("features").persist()
+    try:
+        model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(held)
+    finally:
+        held.unpersist()
     members = materialize(model.transform(rows).select(row_id, "text", "cluster"), "topic-members")
-    rows.unpersist()
     return TopicClusters(members, vocab, vectors, model, row_id)

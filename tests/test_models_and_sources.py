@@ -3,7 +3,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from caseflow import schemas
-from caseflow.operators import brands, models, profile
+from caseflow.operators import brands, clustering, models, profile
+from caseflow.operators import features as fx
 from caseflow.operators.models import IntentClassifier, IntentModel, MajorityBaseline, TfidfLogisticBaseline
 from caseflow.operators.stages import IntentEstimator
 from caseflow.sources import tables
@@ -142,3 +143,11 @@ def test_solver_takes_large_blocks(train, monkeypatch):
     TfidfLogisticBaseline().fit(train, "id", "text", "label")
     IntentClassifier(folds=2).fit(train, "id", "text", "label")
     assert taken == [models.BLOCK_MB] * 3
+
+
+def test_clusters_hold_vectors_without_texts(train, monkeypatch):
+    fit, held = clustering.KMeans.fit, []
+    monkeypatch.setattr(clustering.KMeans, "fit", lambda self, rows: held.append((rows.columns, rows.storageLevel.useMemory)) or fit(self, rows))
+    topics = clustering.fit_topics(train, "id", "text", k=3, spec=fx.TermSpec("word", 1, 1, fx.WORD, (), False, 1, 100))
+    assert held == [(["features"], True)] and topics.members.columns == ["id", "text", "cluster"]
+    assert topics.members.count() == train.count() == sum(r["size"] for r in topics.summary().collect())
