@@ -209,3 +209,16 @@ def test_registered_searches_ask_every_message(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     for query, k in ((queries.hybrid_topk, 3), (queries.conditioned_topk, 5)):
         assert {r.q_id: r["count"] for r in query(spark, str(tmp_path)).groupBy("q_id").count().collect()} == {str(c * 1000): k for c in range(30, 50)}
+
+
+def test_tasks_that_cut_up_texts_grow_in_number(spark, monkeypatch):
+    """A task holds a bounded stretch of text, whatever the session's number of partitions; the counts are the same."""
+    docs = spark.createDataFrame([(i, f"late parcel number {i % 7}" if i % 5 else None) for i in range(60)], "id int, text string")
+    for spec in (WORDS, CHARS):
+        few = fx.term_counts(docs, "id", "text", spec)
+        with monkeypatch.context() as m:
+            m.setattr(fx, "TASK_CHARACTERS", 100)
+            many = fx.term_counts(docs, "id", "text", spec)
+        assert few.rdd.getNumPartitions() == 4 and many.rdd.getNumPartitions() == 10
+        assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+    assert fx.term_counts(docs.where("false"), "id", "text", WORDS).count() == 0
