@@ -32,9 +32,6 @@ Words are told apart by 63 bits of a hash.
 
 from __future__ import annotations
 
-import ctypes
-from contextlib import suppress
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -94,13 +91,6 @@ def _word_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return -1 - (hashes >> np.uint64(1)).astype(np.int64), starts
 
 
-def _give_back() -> None:
-    """Freed memory goes back to the system, so that workers hold little while the steps on columns run."""
-    pa.default_memory_pool().release_unused()
-    with suppress(OSError, AttributeError):  # not every C library has it
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 class _Counts:
     """Different keys of a slice with their learnt counts, in order; what came since the last merge is kept apart."""
 
@@ -149,7 +139,7 @@ def _gather(docs: DataFrame, depth: int) -> DataFrame:
 
     def gather(batches):
         names = [f.name for f in schema]
-        _give_back()
+        W.give_back()
         number, held, counts, arrow = TaskContext.get().partitionId() << 32, 0, _Counts(), None
 
         def key_rows():
@@ -180,11 +170,11 @@ def _gather(docs: DataFrame, depth: int) -> DataFrame:
             if held >= SLICE_BYTES:
                 yield from key_rows()
                 number, held, counts = number + 1, 0, _Counts()
-                _give_back()
+                W.give_back()
         if arrow:
             yield from key_rows()
         counts = batch = data = flat = None
-        _give_back()
+        W.give_back()
 
     return docs.mapInArrow(gather, schema)
 
@@ -278,7 +268,7 @@ def _score(packs: DataFrame, values: DataFrame, tokens: int, kinds: int, ends: i
     space = tokens + ends + kinds + (1 if ends else 0) + 1
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        _give_back()
+        W.give_back()
         keys, out = right.column("key").to_numpy(), []
         order = np.argsort(keys)
         keys, own = keys[order], right.column("value").to_numpy()[order]

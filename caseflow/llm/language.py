@@ -33,8 +33,10 @@ from caseflow.llm.words import small_batches
 DIM = 1024
 GRAM = 3
 PART_CHARS = 1 << 19
+RUN_CHARS = 1 << 18
+SLICE = 1 << 20
 TEXTS = 48
-GRAMS = 4096
+GRAMS = 1024
 UNKNOWN = "und"
 
 
@@ -79,25 +81,49 @@ def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.flatnonzero(ends)
 
 
+def _packed(place: np.ndarray, base: int, gram: int) -> np.ndarray:
+    """One number for each run of ``gram`` places in an alphabet of ``base`` letters."""
+    size = len(place) - gram + 1
+    packed = np.zeros(size, np.int64)
+    for k in range(gram):
+        packed *= base
+        packed += place[k : k + size]
+    return packed
+
+
+def _gram_counts(codes: np.ndarray, at: np.ndarray, gram: int) -> tuple[np.ndarray, ...]:
+    """The alphabet, the different n-grams over it, and how often each text has which of them, by text.
+
+    What is needed on the way is free once this returns, before any vectors are made.
+    """
+    n, size = len(at) - 1, len(codes) - gram + 1
+    alphabet, place = np.unique(codes, return_inverse=True)
+    packed = _packed(place, len(alphabet), gram)
+    del place
+    starts = np.arange(size, dtype=np.int32)
+    text = (np.searchsorted(at, starts, "right") - 1).astype(np.int32)
+    inside = starts + np.int32(gram - 1) <= at.astype(np.int32)[np.minimum(text + 1, n)]
+    packed, text = packed[inside], text[inside]
+    del starts, inside
+    grams, which = np.unique(packed, return_inverse=True)
+    del packed
+    which += text.astype(np.int64) * len(grams)
+    del text
+    pair, count = np.unique(which, return_counts=True)
+    del which
+    return alphabet, grams, (pair // len(grams)).astype(np.int32), (pair % len(grams)).astype(np.int32), count.astype(np.int32)
+
+
 def text_vectors(texts: list[str], vectors: Vectors) -> tuple[np.ndarray, np.ndarray]:
     """A vector for each text (float64, whole numbers), and which texts have a letter."""
     codes, at = _code_points(texts)
     n, g = len(texts), vectors.gram
     result = np.zeros((n, vectors.dim))
     lettered = np.add.reduceat(codes != 32, at[:-1]) > 0 if n else np.zeros(0, bool)
-    alphabet, place = np.unique(codes, return_inverse=True)
-    size = len(codes) - g + 1
-    if size <= 0:
+    if len(codes) < g:
         return result, lettered
-    packed = np.zeros(size, np.int64)
-    for k in range(g):
-        packed = packed * len(alphabet) + place[k : k + size]
-    text = np.searchsorted(at, np.arange(size), "right") - 1
-    inside = np.arange(size) + g - 1 <= at[np.minimum(text + 1, n)]
-    packed, text = packed[inside], text[inside]
-    grams, gram = np.unique(packed, return_inverse=True)
-    pair, count = np.unique(text * len(grams) + gram, return_counts=True)
-    whose, which = pair // len(grams), pair % len(grams)
+    alphabet, grams, whose, which, count = _gram_counts(codes, at, g)
+    del codes
     for low in range(0, len(grams), GRAMS):
         own = grams[low : low + GRAMS]
         letters = np.stack([alphabet[(own // len(alphabet) ** (g - 1 - k)) % len(alphabet)] for k in range(g)], axis=1)
@@ -141,11 +167,11 @@ def _long_vector(text: str, vectors: Vectors) -> tuple[np.ndarray, bool]:
 
 
 def _parts(texts: list[str | None]):
-    """Runs of texts of about PART_CHARS characters; a longer text is a run of its own."""
+    """Runs of texts of about RUN_CHARS characters; a longer text is a run of its own."""
     run, first, total = [], 0, 0
     for k, text in enumerate(texts):
         text = text or ""
-        if run and total + len(text) > PART_CHARS:
+        if run and total + len(text) > RUN_CHARS:
             yield first, run
             run, first, total = [], k, 0
         run.append(text)
@@ -186,7 +212,7 @@ class LanguageModel:
         def tell(batches):
             languages, prototypes, norms, dim, gram = shared.value
             vectors = Vectors(dim, gram)
-            for batch in small_batches(batches, text_col):
+            for batch in small_batches(batches, text_col, SLICE):
                 best = [UNKNOWN] * batch.num_rows
                 score = np.zeros(batch.num_rows)
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
@@ -211,7 +237,7 @@ def fit(
 
     def bundle(batches):
         vectors, totals = Vectors(dim, gram), {}
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", SLICE):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             for first, found, lettered in _vectors_of(batch.column(1).to_pylist(), vectors):
                 for lang in set(langs[first : first + len(found)][lettered]):

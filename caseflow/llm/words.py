@@ -6,7 +6,9 @@ a-z. Equal words have equal hashes; different words differ but for a chance of a
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import lru_cache
 
 import numpy as np
@@ -117,8 +119,19 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system, so that workers hold little while other steps run."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of about ``most`` bytes of text, so that what a task derives from them stays small."""
+    """The same rows in slices of about ``most`` bytes of text, so that what a task derives from them stays small.
+
+    What earlier tasks left, and after each batch what was derived from it, goes back to the system where it is free.
+    """
+    give_back()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
         total, first = np.cumsum(sizes, dtype=np.int64), 0
@@ -127,3 +140,5 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = BA
             last = max(first + 1, int(np.searchsorted(total, done + most, "right")))
             yield batch.slice(first, last - first)
             first = last
+        del batch, sizes, total
+        give_back()
